@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from siltworks.llm.byte_bpe import digests
 from siltworks.llm.common import table
 from siltworks.llm.decontamination import decontaminate
+from siltworks.llm.html_text import main_text
 from siltworks.llm.quality_rules import quality_rules
 from siltworks.llm.sharding import external_shuffle
+from siltworks.llm.url_filter import url_filter
+
+#: (verdict, host, path)
+URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
 
 def vocabulary() -> tuple[str, str]:
@@ -19,6 +24,10 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary(), carry=["doc_id"])
 
@@ -34,15 +43,21 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), carry=["page_id", "url"])
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
 
 
 QUERIES = {
+    "op4_url_filter": op4_url_filter,
     "op5_byte_bpe": op5_byte_bpe,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
+    "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
 }
 
