@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -42,6 +43,12 @@ def forget(df: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now; else they stay until the driver happens to need memory."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def per_row(fn: Callable[[dict], dict], inputs: list[str], outputs: pa.Schema, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function: the carried columns as they are, then fn's outputs for each row, in small batches so that memory stays bounded however long the texts are."""
 

@@ -9,8 +9,12 @@ from siltworks.llm.byte_bpe import digests
 from siltworks.llm.common import table
 from siltworks.llm.decontamination import decontaminate
 from siltworks.llm.html_text import main_text
+from siltworks.llm.line_dedup import line_dedup
+from siltworks.llm.ngram_join import jaccard_components
+from siltworks.llm.personal_data import find_personal_data
 from siltworks.llm.quality_rules import quality_rules
 from siltworks.llm.sharding import external_shuffle
+from siltworks.llm.substring_dedup import substring_dedup
 from siltworks.llm.url_filter import url_filter
 
 #: (verdict, host, path)
@@ -24,6 +28,21 @@ def vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2)
+    return done.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    spans = F.array_join(F.transform("entities", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"))
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"), size=5, percent=75).withColumnRenamed("key", "doc_id")
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
@@ -32,6 +51,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary(), carry=["doc_id"])
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50, with_bytes=False).drop("text")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"), carry=["doc_id"])
 
@@ -53,12 +76,64 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_personal_data": op2_personal_data,
+    "op3_ngram_join": op3_ngram_join,
     "op4_url_filter": op4_url_filter,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": """
+        WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+        p AS (SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM l),
+        w AS (SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM p),
+        c AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, pos) AS nth FROM w WHERE following IS NOT NULL),
+        gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM c WHERE nth > 1),
+        m AS (SELECT p.doc_id, p.pos, p.line, g.pos IS NOT NULL AS removed, coalesce(lag(g.pos IS NOT NULL) OVER (PARTITION BY p.doc_id ORDER BY p.pos), false) AS before
+              FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos),
+        r AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, count(*) FILTER (removed AND NOT before) AS n_runs,
+                     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT removed), '') AS kept FROM m GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_runs, 0)::BIGINT AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id""",
+    "op3_ngram_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS t(i) WHERE len(words) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        e AS (SELECT o.a, o.b FROM o JOIN n x ON x.doc_id = o.a JOIN n y ON y.doc_id = o.b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.b) AS component_id FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n""",
+    "op6_substring_dedup": """
+        WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        w AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM h, unnest(range((length(x) // 2 - 49)::BIGINT)) AS t(i)),
+        f AS (SELECT hash(s) AS s, min(doc_id) AS first FROM w GROUP BY 1),
+        c AS (SELECT w.doc_id, w.i, w.i - lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS gap FROM w JOIN f ON hash(w.s) = f.s WHERE f.first < w.doc_id),
+        g AS (SELECT doc_id, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c),
+        r AS (SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY 1, 2),
+        q AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before, lead(a) OVER (PARTITION BY doc_id ORDER BY a) AS after FROM r),
+        k AS (SELECT q.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed,
+                     string_agg(substr(x, 2 * before + 1, 2 * (a - before)) || CASE WHEN after IS NULL THEN substr(x, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS kept
+              FROM q JOIN h ON q.doc_id = h.doc_id GROUP BY q.doc_id)
+        SELECT h.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+        FROM h LEFT JOIN k ON h.doc_id = k.doc_id""",
+    "op7_decontamination": f"""
+        WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents),
+        bw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM benchmark),
+        items AS (SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + 12], ' ') AS g FROM bw, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS t(i) WHERE len(ws) > 0),
+        lengths AS (SELECT DISTINCT n FROM items),
+        dg AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS g FROM dw, lengths, unnest(range(1, len(ws) - n + 2)) AS t(i)),
+        m AS (SELECT dg.doc_id, dg.n, dg.i, items.item_id FROM dg JOIN items ON dg.n = items.n AND dg.g = items.g),
+        hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS place FROM (SELECT DISTINCT doc_id, n, i FROM m)) GROUP BY doc_id),
+        own AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM m) GROUP BY doc_id)
+        SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+        FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN own ON dw.doc_id = own.doc_id""",
+}
