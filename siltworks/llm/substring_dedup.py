@@ -266,12 +266,10 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     shared = stored(anchors.groupBy("bucket").applyInArrow(shared_rows, "block bigint, hashes binary"))
     collect_garbage(spark)
 
-    around = stored(long_ones.select("block", "row", "doc", "text").groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(block_surroundings(length, n_buckets), SENT_DDL))
-    forget(shared)
-    collect_garbage(spark)
+    around = long_ones.select("block", "row", "doc", "text").groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(block_surroundings(length, n_buckets), SENT_DDL)
     covered = around.groupBy("bucket").applyInArrow(covered_or_settled(length), "row bigint, start bigint, end bigint")
     ranges = stored(covered.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("ranges")))
-    forget(around)
+    forget(shared)
     collect_garbage(spark)
 
     def digests(batches):
