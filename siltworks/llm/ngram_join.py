@@ -210,7 +210,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     candidates = stored(product.where(F.col("sum") + more >= needed).select("a", "b", "sum"))
     collect_garbage(spark)
 
-    often = classes.where(F.size("hot") > 0).select("c", "n", F.explode("hot").alias("s"))
+    often = classes.where(F.size("hot") > 0).select("c", "n", F.size("first").alias("cold"), F.explode("hot").alias("s"))
     heads = often.groupBy("s").agg(F.min_by(F.struct("c", "n"), "c").alias("head")).select("s", F.col("head.c").alias("a"), F.col("head.n").alias("n_a"))
     # as many rows as there are frequent shingles at most: MAX_FREQUENT
     stars = often.join(F.broadcast(heads), "s").where((F.col("c") != F.col("a")) & sizes_fit("n", "n_a", percent)).groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("sum"))
@@ -224,7 +224,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # first each node's likeliest partner, then what this has not joined yet
     links = None
     best = candidates.unionByName(stars).groupBy("b").agg(F.max_by("a", "sum").alias("a")).select("a", "b")
-    for step in (lambda _: best, lambda labels: apart(wanted.distinct(), labels), lambda labels: between(often, sizes, labels, percent)):
+    for step in (lambda _: best, lambda labels: apart(wanted.distinct(), labels), lambda labels: between(often, candidates, labels, percent)):
         labels = components(links) if links is not None else None
         found = stored(overlap(step(labels), sets, percent))
         links = found if links is None else links.unionByName(found)
@@ -241,14 +241,24 @@ def sizes_fit(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
-def between(often: DataFrame, sizes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a frequent column that are in different components, where the column still holds several."""
+def between(often: DataFrame, candidates: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a frequent column that are in different components, where the column still holds several.
+
+    Of two linked sets the smaller one shares a column among its first ``n - ceil(2 n percent / (100 + percent)) + 1``; a set
+    whose columns there are all infrequent need not be multiplied as the smaller one. Sums over frequent and (from
+    candidates) other columns are held against the same bound as before, so that few pairs are counted on the whole sets.
+    """
     labelled = often.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     several = labelled.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
     open_ = labelled.join(several, "s")
-    left = open_.select("s", F.col("c").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("ca"))
-    right = open_.select("s", F.col("c").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("cb"))
-    return left.join(right, "s").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & sizes_fit("n_a", "n_b", percent)).select("a", "b").distinct()
+    reach = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
+    small = open_.where(F.col("cold") < reach).select("s", F.col("c").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("cx"))
+    large = open_.select("s", F.col("c").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("cy"))
+    met = small.join(large, "s").where(((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))) & (F.col("cx") != F.col("cy")) & sizes_fit("n_x", "n_y", percent))
+    sums = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n_x", "n_y").agg(F.count("*").alias("hot_sum")).join(candidates, ["a", "b"], "left")
+    rest = F.greatest(*(F.floor((percent * F.col(n) + 99) / 100) - 1 for n in ("n_x", "n_y")))
+    needed = F.ceil(percent * (F.col("n_x") + F.col("n_y")) / (100 + percent))
+    return sums.where(F.col("hot_sum") + F.coalesce("sum", F.lit(0)) + rest >= needed).select("a", "b")
 
 
 def whole_sets(source: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
