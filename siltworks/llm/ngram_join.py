@@ -175,7 +175,7 @@ def overlap(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
 
-    left = pairs.join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a")
+    left = pairs.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("s").alias("x")), "a")
     return left.join(sets.select(F.col("c").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(count, "a bigint, b bigint")
 
 
@@ -216,19 +216,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     stars = often.join(F.broadcast(heads), "s").where((F.col("c") != F.col("a")) & sizes_fit("n", "n_a", percent)).groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("sum"))
     stars = stored(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sum").groupBy("a", "b").agg(F.max("sum").alias("sum")))
 
-    wanted = candidates.select("a", "b").unionByName(stars.select("a", "b"))
-    nodes = wanted.select(F.explode(F.array("a", "b")).alias("c")).unionByName(often.select("c")).distinct()
+    nodes = candidates.select(F.explode(F.array("a", "b")).alias("c")).unionByName(often.select("c")).distinct()
     sets = stored(whole_sets(source, classes, nodes, size))
     collect_garbage(spark)
 
-    # first each node's likeliest partner, then what this has not joined yet
-    links = None
-    best = candidates.unionByName(stars).groupBy("b").agg(F.max_by("a", "sum").alias("a")).select("a", "b")
-    for step in (lambda _: best, lambda labels: apart(wanted.distinct(), labels), lambda labels: between(often, candidates, labels, percent)):
-        labels = components(links) if links is not None else None
-        found = stored(overlap(step(labels), sets, percent))
-        links = found if links is None else links.unionByName(found)
+    # each node's likeliest partner goes first, so that few pairs are left apart when all that remain are counted
+    links = stored(overlap(likeliest(candidates.unionByName(stars)), sets, percent))
+    links = links.unionByName(stored(overlap(apart(candidates, components(links)), sets, percent)))
     labels = components(links)
+    frequent_pairs = stored(between(often, candidates, labels, percent))
+    for step in (likeliest, likeliest, lambda pairs: pairs):
+        links = links.unionByName(stored(overlap(step(apart(frequent_pairs, labels)), sets, percent)))
+        labels = components(links)
     collect_garbage(spark)
 
     named = classes.select("h1", "h2", "rep", "c").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
@@ -241,6 +240,11 @@ def sizes_fit(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
 
+def likeliest(pairs: DataFrame) -> DataFrame:
+    """For each b the pair with the largest sum."""
+    return pairs.groupBy("b").agg(F.max_by("a", "sum").alias("a")).select("a", "b")
+
+
 def between(often: DataFrame, candidates: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of a frequent column that are in different components, where the column still holds several.
 
@@ -258,7 +262,8 @@ def between(often: DataFrame, candidates: DataFrame, labels: DataFrame, percent:
     sums = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n_x", "n_y").agg(F.count("*").alias("hot_sum")).join(candidates, ["a", "b"], "left")
     rest = F.greatest(*(F.floor((percent * F.col(n) + 99) / 100) - 1 for n in ("n_x", "n_y")))
     needed = F.ceil(percent * (F.col("n_x") + F.col("n_y")) / (100 + percent))
-    return sums.where(F.col("hot_sum") + F.coalesce("sum", F.lit(0)) + rest >= needed).select("a", "b")
+    total = F.col("hot_sum") + F.coalesce("sum", F.lit(0))
+    return sums.where(total + rest >= needed).select("a", "b", total.alias("sum"))
 
 
 def whole_sets(source: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
