@@ -221,13 +221,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     collect_garbage(spark)
 
     # each node's likeliest partner goes first, so that few pairs are left apart when all that remain are counted
-    links = stored(overlap(likeliest(candidates.unionByName(stars)), sets, percent))
-    links = links.unionByName(stored(overlap(apart(candidates, components(links)), sets, percent)))
-    labels = components(links)
+    labels = components(overlap(likeliest(candidates.unionByName(stars)), sets, percent))
+    labels = components(joined(labels, overlap(apart(candidates, labels), sets, percent)))
     frequent_pairs = stored(between(often, candidates, labels, percent))
     for step in (likeliest, likeliest, lambda pairs: pairs):
-        links = links.unionByName(stored(overlap(step(apart(frequent_pairs, labels)), sets, percent)))
-        labels = components(links)
+        links = stored(overlap(step(apart(frequent_pairs, labels)), sets, percent))
+        if not links.isEmpty():
+            labels = components(joined(labels, links))
     collect_garbage(spark)
 
     named = classes.select("h1", "h2", "rep", "c").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
@@ -236,6 +236,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return members.join(by_hash, ["h1", "h2"], "left").select(F.col("key"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components so far, as links of their nodes to the smallest one, and more links."""
+    return labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+
+
 def sizes_fit(x: str, y: str, percent: int) -> Column:
     return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
