@@ -7,8 +7,9 @@ accumulated by Spark, and a pair is discarded if its sizes are too far apart or
 overlap that its sizes ask for. What is left is counted exactly on the whole sets.
 
 Frequent columns (large groups of near copies, passages that many documents share) are not multiplied out. Their members
-are compared with the column's first member, then only columns that still hold several components are multiplied
-between components. So no link between different components is lost, and copies are never expanded into all pairs.
+are compared with the column's first member; then, of columns that still hold several components, the members are cut into
+blocks of rows, and blocks that share such a column are multiplied as matrices in a task, which gives out only which components
+are joined. So no link between different components is lost, and copies are never expanded into all pairs.
 
 Defined cases: a document with fewer words than ``size`` has its whole sequence as one shingle; without words, or null, it
 has none, links with nothing and is its own component; rows with the same text or key are separate rows of the result;
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import collect_garbage, forget, stored
 from siltworks.llm.components import components
+from siltworks.llm.line_dedup import ranked
 
 #: Shingles whose repeats are counted together by a task; bounds its memory.
 CHUNK = 2_000_000
@@ -35,6 +37,8 @@ CHUNK = 2_000_000
 FREQUENT = 32
 #: Most frequent shingles that are kept as such, and broadcast: 8 bytes each.
 MAX_FREQUENT = 1 << 20
+#: A block of the product has so many rows and shingles at most (or one longer row), and so many columns at a time are multiplied.
+BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_COLUMNS = 256, 1 << 17, 4096
 
 
 class Words(dict):
@@ -223,11 +227,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # each node's likeliest partner goes first, so that few pairs are left apart when all that remain are counted
     labels = components(overlap(likeliest(candidates.unionByName(stars)), sets, percent))
     labels = components(joined(labels, overlap(apart(candidates, labels), sets, percent)))
-    frequent_pairs = stored(between(often, candidates, labels, percent))
-    for step in (likeliest, likeliest, lambda pairs: pairs):
-        links = stored(overlap(step(apart(frequent_pairs, labels)), sets, percent))
-        if not links.isEmpty():
-            labels = components(joined(labels, links))
+    collect_garbage(spark)
+    links = stored(block_links(often, sets, labels, percent))
+    if not links.isEmpty():
+        labels = components(joined(labels, links))
     collect_garbage(spark)
 
     named = classes.select("h1", "h2", "rep", "c").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
@@ -250,25 +253,74 @@ def likeliest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("b").agg(F.max_by("a", "sum").alias("a")).select("a", "b")
 
 
-def between(often: DataFrame, candidates: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a frequent column that are in different components, where the column still holds several.
+def block_links(often: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links between components (as pairs of their labels) among members of frequent columns that still hold several.
 
-    Of two linked sets the smaller one shares a column among its first ``n - ceil(2 n percent / (100 + percent)) + 1``; a set
-    whose columns there are all infrequent need not be multiplied as the smaller one. Sums over frequent and (from
-    candidates) other columns are held against the same bound as before, so that few pairs are counted on the whole sets.
+    The members' whole sets are cut into blocks of rows, alike ones together; two blocks are multiplied if they share such
+    a column and aren't both of one and the same component. Of two linked sets the smaller one shares a column among its
+    first ``n - ceil(2 n percent / (100 + percent)) + 1``; a set whose columns there are all infrequent need not be
+    multiplied as the smaller one.
     """
     labelled = often.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     several = labelled.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
-    open_ = labelled.join(several, "s")
     reach = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
-    small = open_.where(F.col("cold") < reach).select("s", F.col("c").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("cx"))
-    large = open_.select("s", F.col("c").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("cy"))
-    met = small.join(large, "s").where(((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("x") < F.col("y")))) & (F.col("cx") != F.col("cy")) & sizes_fit("n_x", "n_y", percent))
-    sums = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "n_x", "n_y").agg(F.count("*").alias("hot_sum")).join(candidates, ["a", "b"], "left")
-    rest = F.greatest(*(F.floor((percent * F.col(n) + 99) / 100) - 1 for n in ("n_x", "n_y")))
-    needed = F.ceil(percent * (F.col("n_x") + F.col("n_y")) / (100 + percent))
-    total = F.col("hot_sum") + F.coalesce("sum", F.lit(0))
-    return sums.where(total + rest >= needed).select("a", "b", total.alias("sum"))
+    # as many rows as there are frequent shingles at most: MAX_FREQUENT
+    open_ = stored(labelled.join(F.broadcast(several), "s").select("s", "c", "n", "component", (F.col("cold") < reach).alias("small")))
+    by = ["alike", "component", "c"]
+    ordered = ranked(open_.groupBy("c", "component").agg(F.min("s").alias("alike"), F.greatest(F.max("n"), F.lit(BLOCK_SHINGLES // BLOCK_ROWS)).alias("n")), by)
+    placed = stored(ordered.select("c", "component", F.floor(F.col("rank") / BLOCK_SHINGLES).alias("block")))
+    blocks = stored(placed.join(sets, "c").groupBy("block").agg(F.collect_list(F.struct("component", "s")).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi")))
+    held = open_.select("s", "c", "small").join(placed.select("c", "block"), "c").groupBy("s", "block").agg(F.max("small").alias("small"))
+    held = stored(held.join(blocks.select("block", "lo", "hi"), "block"))
+    x, y = (held.select("s", *(F.col(c).alias(f"{c}_{end}") for c in ("block", "small", "lo", "hi"))) for end in "xy")
+    apart_ = F.least("lo_x", "lo_y") < F.greatest("hi_x", "hi_y")
+    met = x.join(y, "s").where((F.col("block_x") <= F.col("block_y")) & (F.col("small_x") | F.col("small_y")) & apart_).select("block_x", "block_y").distinct()
+    sides = met.withColumn("block", F.explode(F.array_distinct(F.array("block_x", "block_y"))))
+    return sides.join(blocks.select("block", "rows"), "block").groupBy("block_x", "block_y").applyInArrow(block_product(percent), "a bigint, b bigint").distinct()
+
+
+def block_product(percent: int) -> Callable:
+    """A function for applyInArrow: one block of rows (component, s), or two -> the components that links join, each with the smallest one it is joined to."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [(r.values.field("component").to_numpy(), r.values.field("s")) for r in (table.column("rows")[i] for i in range(table.num_rows))]
+        (cx, x), (cy, y) = parts[0], parts[-1]
+        lengths = [s.value_lengths().to_numpy().astype(np.int64) for s in (x, y)]
+        values = [s.flatten().to_numpy() for s in (x, y)]
+        both = np.intersect1d(*(np.unique(v) for v in values))
+        places = []
+        for v, n in zip(values, lengths, strict=True):
+            at = np.minimum(np.searchsorted(both, v), max(len(both) - 1, 0))
+            mine = both[at] == v if len(both) else np.zeros(len(v), bool)
+            places.append((np.repeat(np.arange(len(n)), n)[mine], at[mine]))
+        sums = np.zeros((len(cx), len(cy)), np.float64)
+        for lo in range(0, len(both), BLOCK_COLUMNS):
+            dense = []
+            for (row, column), n in zip(places, lengths, strict=True):
+                part = (column >= lo) & (column < lo + BLOCK_COLUMNS)
+                m = np.zeros((len(n), min(BLOCK_COLUMNS, len(both) - lo)), np.float32)
+                m[row[part], column[part] - lo] = 1
+                dense.append(m)
+            sums += dense[0] @ dense[1].T
+        linked = (100 * sums >= percent * (lengths[0][:, None] + lengths[1][None] - sums)) & (cx[:, None] != cy[None])
+        i, j = np.nonzero(linked)
+        a, b = np.maximum(cx[i], cy[j]), np.minimum(cx[i], cy[j])
+        names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+        u, v = at[: len(a)], at[len(a) :]
+        label = np.arange(len(names))
+        while True:
+            least = np.minimum(label[u], label[v])
+            after = label.copy()
+            np.minimum.at(after, u, least)
+            np.minimum.at(after, v, least)
+            after = after[after]
+            if (after == label).all():
+                break
+            label = after
+        apart_ = label != np.arange(len(names))
+        return pa.table({"a": pa.array(names[apart_], pa.int64()), "b": pa.array(names[label[apart_]], pa.int64())})
+
+    return run
 
 
 def whole_sets(source: DataFrame, classes: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
