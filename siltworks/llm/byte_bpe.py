@@ -2,7 +2,8 @@
 
 Within each match of the splitting pattern, a segment tree over byte positions stores the leftmost minimum rank of the
 pairs that start there. Each merge takes the root and makes logarithmic point updates on the merged place and its live
-neighbours, so a long match without white space costs n log n.
+neighbours, so a long match without white space costs n log n. Nodes have ``FAN`` children, whose least one call finds: the
+tree of a usual match is its leaves and a root.
 
 Defined cases: a null text is empty and has no tokens; every text's decoded bytes are its UTF-8 bytes; columns named like
 an output column are replaced. The vocabulary file's path is a parameter; its bytes (a file of fixed size) are broadcast.
@@ -20,7 +21,9 @@ from pyspark.sql import DataFrame
 from siltworks.llm.common import per_row
 
 #: Distinct matches remembered by a Python worker.
-REMEMBERED = 200_000
+REMEMBERED = 500_000
+#: Children of a node of the segment tree.
+FAN = 32
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -32,43 +35,45 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one match."""
     if (whole := ranks.get(piece)) is not None:
         return [whole]
-    n = len(piece)
-    width = 1 << (n - 1).bit_length()
-    none = len(ranks) * width + width
-    tree = [none] * (2 * width)
+    n, get = len(piece), ranks.get
+    bits = n.bit_length()
+    none, place = len(ranks) << bits, (1 << bits) - 1
+    # rank and place in one number; the smallest is the leftmost of the lowest rank
+    leaves = [none if (rank := get(piece[i : i + 2])) is None else rank << bits | i for i in range(n - 1)]
+    leaves.append(none)
     after, before = list(range(1, n + 2)), list(range(-1, n))
-
-    def entry(i: int) -> int:
-        """Rank and place in one number; the smallest is the leftmost of the lowest rank."""
-        j = after[i]
-        rank = ranks.get(piece[i : after[j]]) if j < n else None
-        return none if rank is None else rank * width + i
-
-    for i in range(n - 1):
-        tree[width + i] = entry(i)
-    for k in range(width - 1, 0, -1):
-        tree[k] = min(tree[2 * k], tree[2 * k + 1])
-
-    def put(i: int, value: int) -> None:
-        k = width + i
-        tree[k] = value
-        while k > 1:
-            k >>= 1
-            least = min(tree[2 * k], tree[2 * k + 1])
-            if tree[k] == least:
+    levels = [leaves]
+    while len(levels[-1]) > FAN:
+        levels.append([min(levels[-1][k : k + FAN]) for k in range(0, len(levels[-1]), FAN)])
+    top, inner = levels[-1], list(zip(levels, levels[1:], strict=False))
+
+    def lift(i: int) -> None:
+        """The nodes above a changed leaf, up to the first that stays the same."""
+        for below, above in inner:
+            k = i // FAN
+            least = min(below[k * FAN : k * FAN + FAN])
+            if above[k] == least:
                 break
-            tree[k] = least
+            above[k], i = least, k
 
-    while tree[1] != none:
-        i = tree[1] % width
+    while (least := min(top)) != none:
+        i = least & place
         j = after[i]
-        after[i] = after[j]
-        if after[j] <= n:
-            before[after[j]] = i
-        put(j, none)
-        put(i, entry(i))
-        if before[i] >= 0:
-            put(before[i], entry(before[i]))
+        k = after[i] = after[j]
+        leaves[j] = none
+        if k < n:
+            before[k] = i
+            leaves[i] = none if (rank := get(piece[i : after[k]])) is None else rank << bits | i
+        else:
+            leaves[i] = none
+        b = before[i]
+        if b >= 0:
+            leaves[b] = none if (rank := get(piece[b:k])) is None else rank << bits | b
+        if inner:
+            lift(j)
+            lift(i)
+            if b >= 0:
+                lift(b)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[piece[i : after[i]]])
@@ -84,11 +89,15 @@ class Codec(dict):
 
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.pieces = {i: token for token, i in ranks.items()}
+        self.older = {}
 
     def __missing__(self, match: str) -> bytes:
-        ids = np.array(merge(match.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
+        if (ids := self.older.get(match)) is None:
+            ids = np.array(merge(match.encode("utf-8", "surrogatepass"), self.ranks), "<u4").tobytes()
         if len(match) <= 64:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                # what was used since the last time stays
+                self.older = dict(self)
                 self.clear()
             self[match] = ids
         return ids
