@@ -41,30 +41,20 @@ MAX_FREQUENT = 1 << 20
 BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_COLUMNS = 256, 1 << 17, 4096
 
 
-class Words(dict):
-    """64-bit hashes of words, of which a bounded number is remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
-        if len(self) > 400_000:
-            self.clear()
-        self[word] = h = xxh3_64_intdigest(word)
-        return h
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None, words: Words, size: int) -> np.ndarray:
+def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct hashes (64 bits, signed) of the text's shingles."""
+    from xxhash import xxh3_64_intdigest
+
     found = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not found:
         return np.empty(0, np.int64)
-    w = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
+    w = np.fromiter(map(xxh3_64_intdigest, found), np.uint64, len(found))
     n = min(size, len(w))
     h = np.full(len(w) - n + 1, n, np.uint64)
     for j in range(n):
@@ -86,7 +76,7 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
     """The most frequent shingles: those that repeat within the chunks of shingles of a task, summed over all chunks."""
 
     def repeats(batches):
-        words, held, n = Words(), [], 0
+        held, n = [], 0
 
         def flush():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
@@ -95,7 +85,7 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
         for batch in slices(batches):
             for t in batch.column(0).to_pylist():
-                held.append(shingles(t, words, size))
+                held.append(shingles(t, size))
                 n += len(held[-1])
                 if n >= CHUNK:
                     yield flush()
@@ -111,11 +101,11 @@ def prefixes(frequent, size: int, percent: int) -> Callable:
     """A mapInArrow function: key, text -> key, n, two hashes of the set, the first columns that aren't frequent, those that are."""
 
     def run(batches):
-        words, often = Words(), frequent.value
+        often = frequent.value
         for batch in slices(batches):
             n, h1, h2, first, hot = [], [], [], [], []
             for t in batch.column(1).to_pylist():
-                s = shingles(t, words, size)
+                s = shingles(t, size)
                 n.append(len(s))
                 digest = np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64) if len(s) else (None, None)
                 h1.append(digest[0])
@@ -328,9 +318,8 @@ def whole_sets(source: DataFrame, classes: DataFrame, nodes: DataFrame, size: in
     reps = classes.select("c", "rep", "h1", "h2").join(nodes, "c")
 
     def sets(batches):
-        words = Words()
         for batch in slices(batches):
-            found = [shingles(t, words, size) for t in batch.column(0).to_pylist()]
+            found = [shingles(t, size) for t in batch.column(0).to_pylist()]
             digests = [np.frombuffer(blake2b(s.tobytes(), digest_size=16).digest(), np.int64) for s in found]
             yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), lists(found)], names=["h1", "h2", "s"])
 
