@@ -34,7 +34,7 @@ from siltworks.llm.line_dedup import ranked
 #: Shingles whose repeats are counted together by a task; bounds its memory.
 CHUNK = 2_000_000
 #: A shingle with so many occurrences is frequent. Which ones are has no influence on the result, only on the work.
-FREQUENT = 32
+FREQUENT = 8
 #: Most frequent shingles that are kept as such, and broadcast: 8 bytes each.
 MAX_FREQUENT = 1 << 20
 #: A block of the product has so many rows and shingles at most (or one longer row), and so many columns at a time are multiplied.
@@ -80,7 +80,7 @@ def frequent_shingles(docs: DataFrame, text: str, size: int) -> np.ndarray:
 
         def flush():
             values, counts = np.unique(np.concatenate(held), return_counts=True)
-            many = counts > 2
+            many = counts > 1
             return pa.RecordBatch.from_arrays([pa.array(values[many]), pa.array(counts[many])], names=["s", "n"])
 
         for batch in slices(batches):
