@@ -8,6 +8,10 @@ order cannot change which lines go, because a longer repeated run is the union o
 each interval the suffix of the smallest (key, hash of the text, line) stays, the others are later copies; the lines they cover
 are deleted as maximal runs. The earliest copy of a line's text is never deleted.
 
+With ``min_words`` a run counts by its size too: a later copy of a single line of so many words (or of ten times so many code
+points, for scripts without spaces) goes also where no neighbour repeats with it. Shorter lines and blank ones, which repeat as
+headings, list items or brackets do, go only with their neighbours.
+
 Hot lines: counts and first copies are pre-aggregated before each shuffle, and the joins back are plain inner joins whose
 large side Spark may split. The order of ranks is a prefix sum over range partitions, never one task.
 
@@ -44,12 +48,19 @@ def identity(key: str, text: str) -> list[Column]:
     return [F.col(key).alias("_key"), F.xxhash64(text).alias("_hash")]
 
 
-def suffix_intervals(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
-    """Suffixes (document and line) with their rank in the order of the first ``depth`` lines, where that many lines repeat."""
-    hashes = F.transform(F.split(text, "\n"), lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b")))
-    lines = stored(docs.where(F.col(text).isNotNull()).select(*identity(key, text), hashes.alias("lines")).dropDuplicates(DOC)).select(*DOC, F.posexplode("lines").alias("pos", "line")).select(*DOC, "pos", "line.a", "line.b")
+def repeated_lines(docs: DataFrame, key: str, text: str, min_words: int | None = None) -> DataFrame:
+    """Lines (document and pos) that occur more than once, with their number as rank; with ``min_words`` also whether each is long enough to go alone."""
+    flag = [] if min_words is None else ["long"]
+    long = lambda line: (F.regexp_count(line, F.lit(r"\S+")) >= min_words) | (F.length(F.trim(line)) >= 10 * min_words)
+    hashes = F.transform(F.split(text, "\n"), lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"), *(long(line).alias(f) for f in flag)))
+    split = stored(docs.where(F.col(text).isNotNull()).select(*identity(key, text), hashes.alias("lines")).dropDuplicates(DOC))
+    lines = split.select(*DOC, F.posexplode("lines").alias("pos", "line")).select(*DOC, "pos", *(f"line.{c}" for c in ("a", "b", *flag)))
     numbers = ranked(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1"), ["a", "b"])
-    suffixes = stored(lines.join(numbers, ["a", "b"]).select(*DOC, "pos", "rank"))
+    return stored(lines.join(numbers, ["a", "b"]).select(*DOC, "pos", "rank", *flag))
+
+
+def doubled(suffixes: DataFrame, depth: int) -> DataFrame:
+    """From the order of the first line (a stored frame, which is used up) to that of the first ``depth`` lines."""
     done = 1
     while done < depth:
         step = min(done, depth - done)
@@ -62,21 +73,35 @@ def suffix_intervals(docs: DataFrame, key: str, text: str, depth: int) -> DataFr
     return suffixes
 
 
-def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 2) -> DataFrame:
-    """The maximal repeated runs to delete: document (_key, _hash) and an array of (start, end), end exclusive, in order."""
-    suffixes = suffix_intervals(docs, key, text, min_lines)
+def suffix_intervals(docs: DataFrame, key: str, text: str, depth: int) -> DataFrame:
+    """Suffixes (document and line) with their rank in the order of the first ``depth`` lines, where that many lines repeat."""
+    return doubled(repeated_lines(docs, key, text), depth)
+
+
+def copies(suffixes: DataFrame, n_lines: int) -> DataFrame:
+    """Where the later suffixes of each interval start, and where their first ``n_lines`` lines end."""
     place = F.struct(*DOC, "pos")
     intervals = suffixes.groupBy("rank").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = suffixes.join(intervals, "rank").where(~place.eqNullSafe(F.col("first"))).select(*DOC, "pos")
+    return suffixes.join(intervals, "rank").where(~place.eqNullSafe(F.col("first"))).select(*DOC, "pos", (F.col("pos") + n_lines).alias("end"))
+
+
+def later_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 2, min_words: int | None = None) -> DataFrame:
+    """The maximal repeated runs to delete: document (_key, _hash) and an array of (start, end), end exclusive, in order."""
+    lines = repeated_lines(docs, key, text, min_words)
+    alone = None if min_words is None else stored(copies(lines.where("long"), 1))
+    spans = copies(doubled(lines, min_lines), min_lines)
+    if alone is not None:
+        spans = spans.unionByName(alone)
     ordered = Window.partitionBy(*DOC).orderBy("pos")
-    opens = F.coalesce(F.col("pos") - F.lag("pos").over(ordered) > min_lines, F.lit(True))
-    runs = copies.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(ordered)).groupBy(*DOC, "run").agg(F.min("pos").alias("start"), (F.max("pos") + min_lines).alias("end"))
+    opens = F.coalesce(F.col("pos") > F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    # lines that start at the same place are peers, so they get the same sum
+    runs = spans.withColumn("opens", opens.cast("int")).withColumn("run", F.sum("opens").over(ordered)).groupBy(*DOC, "run").agg(F.min("pos").alias("start"), F.max("end").alias("end"))
     return runs.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("runs"))
 
 
-def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 2, min_words: int | None = None) -> DataFrame:
     """docs with the later copies deleted from text, and n_lines, n_removed and n_runs (long)."""
-    runs = later_copies(docs, key, text, min_lines).withColumnsRenamed({"_key": "_k", "_hash": "_h"})
+    runs = later_copies(docs, key, text, min_lines, min_words).withColumnsRenamed({"_key": "_k", "_hash": "_h"})
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *identity(key, text), F.col(text).alias("_text"))
     joined = rows.join(runs.hint("shuffle_hash"), F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")), "left").select("row", "_text", F.coalesce("runs", F.expr(f"cast(array() as {RUNS})")).alias("runs"))
     parts = joined.withColumn("_lines", F.when(F.size("runs") > 0, F.split("_text", "\n")))

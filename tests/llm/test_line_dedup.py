@@ -58,3 +58,26 @@ def test_query(spark, sf):
     assert len(rows) == len(data)
     texts = dict(data)
     assert all((r["n_lines"], r["n_removed"], r["n_runs"]) == expected[r["doc_id"], texts[r["doc_id"]]][1:] for r in rows)
+
+
+@pytest.mark.parametrize("m", [1, 2, 3])
+def test_long_single_lines_go_without_a_neighbour(spark, m):
+    passage, wide, short = "one two three four five", "語" * 40, "one two three"
+    texts = [f"a\n{passage}\nb", f"c\n{passage}\nd\n{wide}", passage, f"{short}\nx\n{wide}", f"{short}\ny", f"{passage}\n{passage}\n\n\nc\nd", f"q\n{passage}\na\n{passage}\nb", "\n", "r\n", None, short]
+    lines = {i: t.split("\n") for i, t in enumerate(texts) if t is not None}
+    first, alone = {}, {}
+    for i, ls in lines.items():
+        for p in range(len(ls) - m + 1):
+            first.setdefault(tuple(ls[p : p + m]), (i, p))
+        for p, x in enumerate(ls):
+            alone.setdefault(x, (i, p))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = line_dedup(docs, min_lines=m, min_words=4).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        if (i := r["doc_id"]) not in lines:
+            continue
+        ls = lines[i]
+        gone = {q for p in range(len(ls) - m + 1) if first[tuple(ls[p : p + m])] != (i, p) for q in range(p, p + m)}
+        gone |= {p for p, x in enumerate(ls) if (len(x.split()) >= 4 or len(x) >= 40) and alone[x] != (i, p)}
+        assert (r["text"], r["n_removed"], r["n_runs"]) == ("\n".join(x for p, x in enumerate(ls) if p not in gone), len(gone), sum(p - 1 not in gone for p in gone))

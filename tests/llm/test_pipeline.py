@@ -24,3 +24,11 @@ def test_stages_take_effect(spark, sf, tmp_path):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(str(tmp_path / "3")).collect()}
     for r in docs.collect():
         assert r["decoded"] and r["ids"] == library.encode_ordinary(texts[r["doc_id"]]) and r["n_tokens"] == len(r["ids"])
+
+
+def test_a_passage_on_a_single_line_stays_once(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, f"first\n{passage}\nend"), (2, f"second\n{passage}\nother end"), (3, passage), (4, "first\nshort line"), (5, "short line\nlast")]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "").collect()}
+    assert out == {1: (rows[0][1], len(rows[0][1])), 2: ("second\nother end", 16), 4: (rows[3][1], 16), 5: (rows[4][1], 15)}
