@@ -338,3 +338,16 @@ def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     result = jaccard_components(docs.select(identity.alias("key"), F.col(text).alias("text")), "key", "text", size, percent).dropDuplicates(["key"])
     result = result.select(F.col("key").alias("_key"), "n_shingles", F.col("component_id.key").alias("component_id"), (F.col("key") == F.col("component_id")).alias("first"))
     return docs.withColumn("_own", identity).join(result.hint("shuffle_hash"), F.col("_own") == F.col("_key")).drop("_own", "_key")
+
+
+def first_of_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
+    """docs with exactly one row of each component: of rows equal in key and text one stays, also where the key is null.
+
+    Of such rows the smallest stays, so all columns have to be of types with an order. They are aggregated in each task before
+    the shuffle that brings rows and labels together, so a key with very many rows sends one row per task.
+    """
+    identity = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"))
+    labels = jaccard_components(docs.select(identity.alias("key"), F.col(text).alias("text")), "key", "text", size, percent)
+    stays = labels.where(F.col("key") == F.col("component_id")).select(F.col("key").alias("_own")).distinct()
+    one = docs.groupBy(identity.alias("_own")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row"))
+    return one.join(stays.hint("shuffle_hash"), "_own", "left_semi").select("row.*")

@@ -32,3 +32,14 @@ def test_a_passage_on_a_single_line_stays_once(spark):
     docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "").collect()}
     assert out == {1: (rows[0][1], len(rows[0][1])), 2: ("second\nother end", 16), 4: (rows[3][1], 16), 5: (rows[4][1], 15)}
+
+
+def test_one_row_of_each_group_of_copies_stays(spark):
+    text, near = " ".join(f"w{i}" for i in range(100)), " ".join(f"w{i}" for i in range(1, 101))
+    other, third = " ".join(f"o{i}" for i in range(50)), " ".join(f"t{i}" for i in range(50))
+    rows = [*[(5, text, "en")] * 30, (5, text, "de"), (9, text, "en"), (7, near, "en"), (5, other, "en"), *[(None, third, "en")] * 3, (3, "of its own", "en"), (8, None, "en"), (6, "", "en")]
+    docs = spark.createDataFrame([(i, t, c, "web", len(t or "")) for i, t, c in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    out = dict(corpus_pipeline.STAGES)["n-gram join"](spark, docs, "")
+    assert out.dtypes == docs.dtypes
+    assert sorted(((r["doc_id"], r["text"], r["lang"]) for r in out.collect()), key=str) == sorted([(5, text, "de"), (5, other, "en"), (None, third, "en"), (3, "of its own", "en"), (8, None, "en"), (6, "", "en")], key=str)
+    assert dict(corpus_pipeline.STAGES)["n-gram join"](spark, docs.limit(0), "").count() == 0
