@@ -1,11 +1,14 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are the spans that the base rules find (e-mail, IP address, payment card, phone). Every seed, and every other token with
-a digit or an @ (a candidate), has lexical patterns: the two words before it, and the words on its two sides. Patterns
+Seeds are the spans that the base rules find (e-mail, IP address, payment card, phone). Every seed, and every candidate, has lexical patterns: the two words before it, and the words on its two sides. Patterns
 and instances (distinct strings) form a graph. Spark scores it in rounds: a pattern's confidence in a kind is the mean score of its
 distinct instances, with PRIOR instances of score 0 added, if MIN_SEEDS distinct seeds support it; an instance's score is the
 noisy-or of its patterns' confidences. Candidates in a pattern of confidence CONFIDENT that have the shape of its kind are added.
 
+Candidates are the tokens between white space with a digit or an @; what is joined by [at] or (at), with a space on each side at
+most; and, outside base spans, runs of digits with single separators (space, dot, hyphen, slash, brackets) that have a kind's shape.
+If a whole run has none, the shaped pieces between spaces at its two ends are tried. Found spans that lie in a larger found one are dropped.
+
 Sums over a pattern are pre-aggregated before the shuffle, so a pattern with very many instances is no hot group.
 
 Defined cases: a null text is empty and has no spans; repeated rows get the same spans each; an empty table gives no
@@ -18,7 +21,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.llm.common import per_row, stored
@@ -32,6 +35,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[^0-9]+")
 MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
+AT = re.compile(r"[\[(]\x20?at\x20?[\])]", re.I)
+BESIDE = re.compile(r"\x20?\S*")
+RUN = re.compile(r"[(\[]?[0-9](?:[)\]]?[\x20./\u00a0-]?[(\[]?[0-9])*+")
+GROUP = re.compile(r"[^\x20\u00a0]+")
 EDGES = ".,;:!?()[]{}<>\"'|*#"
 
 #: Distinct seeds that a pattern needs, instances of score 0 that are added to it, confidence to discover, rounds of scoring.
@@ -74,7 +81,7 @@ def shapes(token: str) -> list[str]:
     """Kinds whose form a token has, loosely: what the base rules are too strict for."""
     digits = DIGITS.sub("", token)
     found = []
-    if "@" in token or re.search(r"[\[(]at[\])]", token, re.I):
+    if "@" in token or AT.search(token):
         found.append("email")
     if re.fullmatch(r"[0-9]{1,3}(?:[.:\[\]]+[0-9]{1,3}){3}.*", token):
         found.append("ip")
@@ -109,10 +116,44 @@ def tokens(text: str):
         whole = text[start:end]
         start += len(whole) - len(whole.lstrip(EDGES))
         end -= len(whole) - len(whole.rstrip(EDGES))
-        if 5 <= end - start <= 64:
+        if end - start >= 5:
             yield start, end
 
 
+def at_signs(text: str):
+    """Places of what is joined by [at] or (at)."""
+    at = 0
+    while m := AT.search(text, at):
+        start = m.start() - (m.start() > at and text[m.start() - 1] == " ")
+        while start > at and not text[start - 1].isspace():
+            start -= 1
+        end = at = BESIDE.match(text, m.end()).end()
+        whole = text[start:end]
+        start += len(whole) - len(whole.lstrip(EDGES + " "))
+        end -= len(whole) - len(whole.rstrip(EDGES + " "))
+        if start < m.start() and m.end() < end:
+            yield start, end
+
+
+def runs(text: str, low: int, high: int):
+    """Places of the shaped runs of digits in a part of the text, or of the shaped pieces at the ends of a run."""
+    for m in RUN.finditer(text, low, high):
+        start, end = m.span()
+        if end - start < 5:
+            continue
+        if text[start] in "([" and not re.search(r"[)\]]", m[0]):
+            start += 1
+        if shapes(text[start:end]):
+            yield start, end
+            continue
+        edges = [g.span() for g in GROUP.finditer(text, start, end)]
+        # a shape has 19 digits at most, so no more groups can be in a piece
+        for n in range(1, min(len(edges), 20)):
+            for a, b in {(start, edges[n - 1][1]), (edges[-n][0], end)}:
+                if b - a >= 5 and shapes(text[a:b]):
+                    yield a, b
+
+
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 MENTIONS = pa.list_(pa.struct([("seed", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("patterns", pa.list_(pa.string())), ("shapes", pa.list_(pa.string()))]))
 FOUND = pa.schema([*((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("base", SPANS), ("mentions", MENTIONS)])
@@ -124,14 +165,20 @@ def examine(text: str | None) -> tuple:
     base = base_spans(text)
     taken = sorted(s[1:] for s in base)
     mentions = [(k, s, e, text[s:e].lower(), p, [k]) for k, s, e in base if (p := patterns(text, s, e))]
+    places, low = set(tokens(text)) | set(at_signs(text)), 0
+    for start, end in [*taken, (len(text), len(text))]:
+        if start > low:
+            places.update(runs(text, low, start))
+        low = max(low, end)
     i = 0
-    for start, end in tokens(text):
+    for start, end in sorted(places):
         while i < len(taken) and taken[i][1] <= start:
             i += 1
         if any(s < end and e > start for s, e in taken[i : i + 3]):
             continue
         if p := patterns(text, start, end):
-            mentions.append((None, start, end, text[start:end].lower(), p, shapes(text[start:end])))
+            said = text[start:end].lower()
+            mentions.append((None, start, end, said if len(said) <= 64 else hashlib.sha256(said.encode("utf-8", "surrogatepass")).hexdigest(), p, shapes(text[start:end])))
     counts = [sum(s[0] == k for s in base) for k in KINDS]
     said = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
     names = ("seed", "start", "end", "instance", "patterns", "shapes")
@@ -163,7 +210,9 @@ def find_personal_data(docs: DataFrame, text: str = "text", carry: list[str] | N
     mentions = seen.select("_row", F.explode("mentions").alias("m")).select("_row", "m.*")
     good = confident_patterns(mentions)
     unseen = mentions.where("seed is null").select("_row", "start", "end", "shapes", F.explode("patterns").alias("pattern")).join(good, "pattern").where(F.array_contains("shapes", F.col("kind")))
-    added = unseen.groupBy("_row", "start", "end").agg(F.max_by("kind", "confidence").alias("kind")).groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+    added = unseen.groupBy("_row", "start", "end").agg(F.max_by("kind", "confidence").alias("kind"))
+    wider = Window.partitionBy("_row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = added.withColumn("_reached", F.max("end").over(wider)).where("_reached is null or end > _reached").groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
     order = F.array(*map(F.lit, KINDS))
     spans = F.concat("base", F.coalesce("more", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")))
     ranked = F.array_sort(F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))

@@ -53,3 +53,17 @@ def test_query(spark, sf):
         assert [r[f"n_{k}"] for k in KINDS] == [sum(b[0] == k for b in base) for k in KINDS]
         assert r["base_sha256"] == hashlib.sha256(",".join(said).encode()).hexdigest()
         assert set(said) <= set(r["spans"].split(",") if r["spans"] else [])
+
+
+def test_contexts_discover_grouped_and_at_forms(spark):
+    cards = [f"4111 1111 1111 {i:04d}" for i in range(2000)]
+    cards = [c for c in cards if luhn(c.replace(" ", ""))][:20]
+    known = [*(("phone is", f"+1 555 010 {i:04d}", "thanks") for i in range(20)), *(("card number", c, "please") for c in cards), *(("write to", f"a{i}@example.com", "soon") for i in range(20))]
+    long = "x" * 70 + "1@localhost"
+    new = [("phone is", "555 123 4567", "thanks"), ("phone is", "(555) 123-4567", "thanks"), ("card number", "4111 1111 1111 1112", "please"), ("write to", "john[at]example.com", "soon"), ("write to", "mary (at) example.com", "soon"), ("write to", long, "soon")]
+    kinds = ["phone", "phone", "card", "email", "email", "email"]
+    docs = spark.createDataFrame([(i, f"my {a} {x} {b}") for i, (a, x, b) in enumerate(known + new)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in find_personal_data(docs).collect()}
+    for i, ((a, x, _), kind) in enumerate(zip(new, kinds, strict=True), len(known)):
+        at = len(f"my {a} ")
+        assert [tuple(e) for e in rows[i]["entities"]] == [(kind, at, at + len(x))], x
