@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import gc
+import math
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Keys of so large a share of all rows are heavy: at most so many, and only these are broadcast.
+MAX_HEAVY = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,13 +22,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. The session names it; only where it names none (tests) a local one is set."""
+    """The folder all executors see, as the session names it. Only a local master, whose executors are this machine, may name none: then a folder of its own is set."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir("/tmp/siltworks-checkpoints")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="siltworks-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -49,6 +57,21 @@ def collect_garbage(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def heavy_join(rows: DataFrame, small: DataFrame, on: list[str], n: str) -> DataFrame:
+    """Inner join of rows with a frame of one row for each key, whose column ``n`` is the number of rows of the key.
+
+    Keys of at least 1 / MAX_HEAVY of all rows, MAX_HEAVY of them at most, are broadcast, so their rows stay where they are; the
+    rest is shuffled, and no key of it is larger than that. small is computed more than once, so it should be stored.
+    """
+    total = small.agg(F.sum(n)).first()[0] or 0
+    least = math.ceil(total / MAX_HEAVY)
+    heavy, light = F.broadcast(small.where(F.col(n) >= least)), small.where(F.col(n) < least)
+    found = rows.join(heavy, on)
+    if least <= 1:
+        return found
+    return found.unionByName(rows.join(heavy.select(*on), on, "left_anti").join(light, on))
+
+
 def per_row(fn: Callable[[dict], dict], inputs: list[str], outputs: pa.Schema, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function: the carried columns as they are, then fn's outputs for each row, in small batches so that memory stays bounded however long the texts are."""
 
