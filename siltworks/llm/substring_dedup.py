@@ -7,9 +7,9 @@ belongs to its sampled string; the bytes of all windows of one sampled string ar
 1. Each block of texts tells the bucket of each sampled string its hash and a hash of its surroundings.
 2. A bucket answers which sampled strings several texts have. Where all surroundings are equal, these settle it: all
    but the first document's go. Where they differ, one block for each different surroundings has to send their bytes.
-3. In a bucket the differing surroundings get a suffix array: ranks of 8, 16, 32 and ``length`` bytes by doubling, neighbours'
-   common prefixes from the bytes, and from the previous and next suffix of a smaller document the longest previous
-   factor. Where it reaches ``length`` the window has an earlier copy and goes.
+3. In a bucket the differing surroundings get a suffix array (order of their windows), neighbours' longest common
+   prefixes, and from the previous and next suffix of a smaller document the longest previous factor. Where it reaches
+   ``length`` the window has an earlier copy and goes.
 
 A sampled string with very many different surroundings (the edge of a passage that a third of all documents share) is not
 brought together with their bytes: its windows are told apart by two 64-bit hashes each, in one row for each block and window, so
@@ -46,8 +46,10 @@ BLOCK_BYTES, FILE_BYTES = 2 << 20, 16 << 20
 MAX_BLOCKS, MAX_FILES = 1 << 22, 1 << 16
 #: Different surroundings of a sampled string from which on its windows are compared by hash: in a block, in all.
 HOT_IN_BLOCK, HOT = 64, 4096
+#: Bytes of texts that are looked at together, so that their arrays stay in a core's cache.
+LOOK_BYTES = 48 << 10
 #: Surroundings that are sorted together.
-PIECE = 20_000
+PIECE = 4_000
 FIRST_ID = -(1 << 63)
 SEED = np.uint64(0x9E3779B97F4A7C15)
 
@@ -64,7 +66,9 @@ def sliding(h: np.ndarray, width: int, choose) -> np.ndarray:
 
 def hashed(rows: np.ndarray, seed: int = 0) -> np.ndarray:
     """64-bit hashes of rows of bytes."""
-    words = np.ascontiguousarray(np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8)))).view(np.uint64)
+    if rows.shape[1] % 8:
+        rows = np.pad(rows, ((0, 0), (0, -rows.shape[1] % 8)))
+    words = np.ascontiguousarray(rows).view(np.uint64)
     h = np.full(len(rows), seed + 1, np.uint64)
     for i in range(words.shape[1]):
         h = mixed(h * SEED + words[:, i])
@@ -73,7 +77,7 @@ def hashed(rows: np.ndarray, seed: int = 0) -> np.ndarray:
 
 class Sampled:
     """Sampled strings of some texts: hash g, number of the text, start of the surroundings in it, their bytes (those of no window are 0),
-    their first and last window (low, high: places in the surroundings), and the hash fp of bytes, low and high."""
+    and their first and last window (low, high: places in the surroundings)."""
 
     def __init__(self, texts: list[bytes], length: int):
         self.gap, width = length - GRAM, length - GRAM + 1
@@ -87,13 +91,20 @@ class Sampled:
         # 0 stands for no window
         h = mixed(mixed(h[:-8] + SEED) * SEED + h[8:]) | np.uint64(1)
         # strings across the end of a text are none
-        inside = lambda n: np.cumsum(np.bincount(starts[size >= n], minlength=len(data) + 1) - np.bincount((starts + size - n + 1)[size >= n], minlength=len(data) + 1)) > 0
-        h[~inside(GRAM)[: len(h)]] = np.uint64(2**64 - 1)
+        def inside(n: int) -> np.ndarray:
+            enough = size >= n
+            step = np.zeros(len(data) + 1, np.int8)
+            step[starts[enough]] = 1
+            step[(starts + size - n + 1)[enough]] = -1
+            return np.cumsum(step, dtype=np.int8) > 0
+
+        grams, windows = inside(GRAM)[: len(h)], inside(length)
+        h[~grams] = np.uint64(2**64 - 1)
         least = sliding(h, width, np.minimum)
-        least = np.where(inside(length)[: len(least)], least, np.uint64(0))
+        least[~windows[: len(least)]] = 0
         top = np.zeros(len(least) + 2 * (width - 1), np.uint64)
         top[width - 1 : width - 1 + len(least)] = least
-        at = np.flatnonzero((sliding(top, width, np.maximum) == h) & inside(GRAM)[: len(h)])
+        at = np.flatnonzero((sliding(top, width, np.maximum) == h) & grams)
         v = h[at]
         # the run of windows whose least hash is a place's lies among the windows that contain the place
         edges = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
@@ -107,18 +118,26 @@ class Sampled:
         self.high = (np.minimum(last[run], at) - first).astype(np.int16)
         self.start = (first - starts[self.text]).astype(np.int32)
         self.first, self.length = first, length
-        self.fp = np.empty(len(at), np.uint64)
-        for k in range(0, len(at), 100_000):
-            part = slice(k, k + 100_000)
-            ends = (self.low[part].astype(np.uint64) << np.uint64(16)) | self.high[part].astype(np.uint64)
-            self.fp[part] = mixed(hashed(self.around(np.arange(len(at))[part])) * SEED + ends)
 
     def around(self, which: np.ndarray) -> np.ndarray:
-        rows = sliding_window_view(self.data, 2 * self.length - GRAM)[self.first[which]]
-        place = np.arange(rows.shape[1], dtype=np.int16)
-        rows[(place < self.low[which][:, None]) | (place >= self.high[which][:, None] + np.int16(self.length))] = 0
+        """The surroundings' bytes, padded to whole words."""
+        length = self.length
+        rows = np.zeros((len(which), -(-(2 * length - GRAM) // 8) * 8), np.uint8)
+        rows[:, : 2 * length - GRAM] = sliding_window_view(self.data, 2 * length - GRAM)[self.first[which]]
+        place, ends = np.arange(rows.shape[1]), np.arange(length - GRAM + 1)
+        inside = (place >= ends[:, None, None]) & (place < ends[:, None] + length)
+        rows &= np.where(inside, np.uint8(255), np.uint8(0))[self.low[which], self.high[which]]
         return rows
 
+    def fingerprints(self, which: np.ndarray) -> np.ndarray:
+        """Hashes of the surroundings' bytes, low and high."""
+        found = [np.empty(0, np.uint64)]
+        for k in range(0, len(which), 50_000):
+            part = which[k : k + 50_000]
+            ends = (self.low[part].astype(np.uint64) << np.uint64(16)) | self.high[part].astype(np.uint64)
+            found.append(mixed(hashed(self.around(part)) * SEED + ends))
+        return np.concatenate(found)
+
     def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each window of some surroundings: whose it is, its place in them, two hashes."""
         n = (self.high[which] - self.low[which] + 1).astype(np.int64)
@@ -142,6 +161,16 @@ def utf8(texts: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [(t or "").encode("utf-8", "surrogatepass") for t in texts.to_pylist()]
 
 
+def looks(texts: list[bytes]):
+    """(first, last) of texts that are looked at together."""
+    first, n = 0, 0
+    for i, t in enumerate(texts):
+        n += len(t) + GRAM
+        if n >= LOOK_BYTES or i == len(texts) - 1:
+            yield first, i + 1
+            first, n = i + 1, 0
+
+
 TOLD = ["bucket", "block", "g", "fp", "mark"]
 
 
@@ -152,9 +181,13 @@ def told_rows(length: int, n_buckets: int):
         for batch in batches:
             blocks = batch.column(0).to_numpy()
             for part in cuts(blocks):
-                s = Sampled(utf8(batch.column(1).slice(part[0], len(part))), length)
-                order = np.lexsort((s.fp, s.g))
-                g, fp = s.g[order], s.fp[order]
+                texts, found = utf8(batch.column(1).slice(part[0], len(part))), []
+                for a, b in looks(texts):
+                    s = Sampled(texts[a:b], length)
+                    found.append((s.g, s.fingerprints(np.arange(len(s.g)))))
+                g, fp = (np.concatenate(x) for x in zip(*found, strict=True))
+                order = np.lexsort((fp, g))
+                g, fp = g[order], fp[order]
                 new = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (fp[1:] != fp[:-1])])) if len(g) else np.empty(0, np.int64)
                 mark = (np.diff(np.append(new, len(g))) > 1).astype(np.uint8)
                 g, fp = g[new], fp[new]
@@ -222,17 +255,21 @@ def block_surroundings(length: int, n_buckets: int):
             firsts = dict(zip(zip(answers.column("h1").to_pylist(), answers.column("h2").to_pylist(), strict=True), answers.column("first").to_pylist(), strict=True))
             docs = np.array([firsts[k] for k in zip(texts.column("h1").to_pylist(), texts.column("h2").to_pylist(), strict=True)], np.int64)
             numbers = texts.column("row").to_numpy()
-            s = Sampled(utf8(texts.column("text")), length)
-            which = np.flatnonzero(within(s.g, hashes))
-            by_hash = within(s.g[which], hot)
-            whole, parts = which[~by_hash], s.windows(which[by_hash])
-            whose = np.concatenate([whole, parts[0]])
-            zero = np.zeros(len(parts[0]), np.int16)
-            columns = {
-                "g": np.concatenate([s.g[whole], parts[2]]), "fp": np.concatenate([s.fp[whole], parts[3]]), "row": numbers[s.text[whose]], "doc": docs[s.text[whose]],
-                "start": np.concatenate([s.start[whole], (s.start[parts[0]] + parts[1]).astype(np.int32)]), "low": np.concatenate([s.low[whole], zero]), "high": np.concatenate([s.high[whole], zero]),
-                "has": np.concatenate([within(s.fp[whole], sent), zero]).astype(np.uint8),
-            }
+            encoded, found, around = utf8(texts.column("text")), [], [np.empty((0, 2 * length - GRAM), np.uint8)]
+            for a, b in looks(encoded):
+                s = Sampled(encoded[a:b], length)
+                which = np.flatnonzero(within(s.g, hashes))
+                by_hash = within(s.g[which], hot)
+                whole, parts = which[~by_hash], s.windows(which[by_hash])
+                whose, fp, zero = np.concatenate([whole, parts[0]]), s.fingerprints(whole), np.zeros(len(parts[0]), np.int16)
+                has = within(fp, sent)
+                around.append(s.around(whole[has])[:, : 2 * length - GRAM])
+                found.append((
+                    np.concatenate([s.g[whole], parts[2]]), np.concatenate([fp, parts[3]]), numbers[a + s.text[whose]], docs[a + s.text[whose]],
+                    np.concatenate([s.start[whole], (s.start[parts[0]] + parts[1]).astype(np.int32)]), np.concatenate([s.low[whole], zero]), np.concatenate([s.high[whole], zero]), np.concatenate([has, zero]),
+                ))
+            columns = {c: np.concatenate(x).astype(t) for (c, t), x in zip(SENT, zip(*found, strict=True), strict=True)}
+            around, place = np.concatenate(around), np.cumsum(columns["has"], dtype=np.int64) - 1
             stay, covered = collapsed(columns["g"], columns["fp"], columns["doc"])
             # one place of each different surroundings has their bytes
             _, one = np.unique(columns["fp"][stay], return_index=True)
@@ -241,7 +278,7 @@ def block_surroundings(length: int, n_buckets: int):
             order = stay[np.argsort(bucket, kind="stable")]
             for p in cuts(np.sort(bucket)):
                 i = order[p]
-                rows.append((int(columns["g"][i[0]] % np.uint64(n_buckets)), False, *(columns[c][i].tobytes() for c, _ in SENT), s.around(whose[i[columns["has"][i] > 0]]).tobytes()))
+                rows.append((int(columns["g"][i[0]] % np.uint64(n_buckets)), False, *(columns[c][i].tobytes() for c, _ in SENT), around[place[i[columns["has"][i] > 0]]].tobytes()))
             if len(covered):
                 rows.append((-1 - int(numbers[0] >> 32), True, *(columns[c][covered].tobytes() for c, _ in SENT), b""))
         fields = [("bucket", pa.int64()), ("settled", pa.bool_()), *((c, pa.binary()) for c, _ in SENT), ("around", pa.binary())]
@@ -252,33 +289,18 @@ def block_surroundings(length: int, n_buckets: int):
 
 def suffix_array(around: np.ndarray, valid: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes (flat places in valid) in the order of their first length bytes, equal ones by document; and what each has in common with the one before, up to length."""
-    rank = around.astype(np.uint64)
-    for bits in (8, 16, 32):
-        step = bits // 8
-        rank = (rank[:, :-step] << np.uint64(bits)) | rank[:, step:]
-    done = 8
-    while True:
-        rank = np.unique(rank, return_inverse=True)[1].reshape(rank.shape).astype(np.uint64)
-        if done == length:
-            break
-        step = min(done, length - done)
-        rank = (rank[:, :-step] << np.uint64(32)) | rank[:, step:]
-        done += step
-    flat = np.flatnonzero(valid)
-    own = rank[:, : valid.shape[1]].ravel()[flat]
-    row = flat // valid.shape[1]
-    order = np.lexsort((doc[row], own))
-    flat, row, own = flat[order], row[order], own[order]
-    common = np.zeros(len(flat), np.int64)
-    bytes_of = sliding_window_view(around, length, axis=1)
-    same = np.concatenate([[False], own[1:] == own[:-1]]) if len(own) else np.zeros(0, bool)
-    common[same] = length
-    differ = np.flatnonzero(~same)[1:]
-    for k in range(0, len(differ), 200_000):
-        i = differ[k : k + 200_000]
-        x, y = (bytes_of[row[j], flat[j] % valid.shape[1]] for j in (i, i - 1))
-        common[i] = (x != y).argmax(axis=1)
-    return flat, common
+    row, place = np.nonzero(valid)
+    strings = np.zeros((len(row), -(-length // 8) * 8), np.uint8)
+    strings[:, :length] = sliding_window_view(around, length, axis=1)[row, place]
+    words = strings.view(">u8").astype(np.uint64)
+    order = np.lexsort((doc[row], *words.T[::-1]))
+    words = words[order]
+    differ = words[1:] ^ words[:-1]
+    word = (differ != 0).argmax(axis=1)
+    value = differ[np.arange(len(differ)), word]
+    byte = 7 - np.searchsorted(np.uint64(1) << np.arange(8, 64, 8, dtype=np.uint64), value, "right")
+    common = np.where(value == 0, length, 8 * word + byte)
+    return row[order] * valid.shape[1] + place[order], np.concatenate([[0], common]) if len(order) else common
 
 
 def smaller_before(owner: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
