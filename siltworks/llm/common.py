@@ -7,11 +7,14 @@ import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+INNERMOST: ContextVar[str | None] = ContextVar("INNERMOST", default=None)
 #: Keys of so large a share of all rows are heavy: at most so many, and only these are broadcast.
 MAX_HEAVY = 1 << 16
 
@@ -34,21 +37,40 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def folder(spark: SparkSession) -> str:
+    """A new name in the folder of the innermost scratch(), else in the shared folder."""
+    return f"{INNERMOST.get() or shared_dir(spark)}/siltworks-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What stored() writes inside goes into one folder, which is deleted at the end, also after a failure. Gives a function that stores a result outside."""
+    outer, own = folder(spark), folder(spark)
+    before = INNERMOST.set(own)
+    try:
+        yield lambda df: stored(df, outer)
+    finally:
+        INNERMOST.reset(before)
+        delete(spark, own)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Cuts the lineage: writes the frame as a table in the shared folder and reads it back, so that lost executors cost nothing that is done."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/siltworks-{uuid.uuid4().hex}"
+    path = path or folder(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def forget(df: DataFrame) -> None:
     """Deletes the files of a stored() frame that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark._jvm
     for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        delete(df.sparkSession, f)
 
 
 def collect_garbage(spark: SparkSession) -> None:
@@ -57,13 +79,14 @@ def collect_garbage(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def heavy_join(rows: DataFrame, small: DataFrame, on: list[str], n: str) -> DataFrame:
+def heavy_join(rows: DataFrame, small: DataFrame, on: list[str], n: str, total: int | None = None) -> DataFrame:
     """Inner join of rows with a frame of one row for each key, whose column ``n`` is the number of rows of the key.
 
     Keys of at least 1 / MAX_HEAVY of all rows, MAX_HEAVY of them at most, are broadcast, so their rows stay where they are; the
-    rest is shuffled, and no key of it is larger than that. small is computed more than once, so it should be stored.
+    rest is shuffled, and no key of it is larger than that. small is computed more than once, so it should be stored. total: the sum of n.
     """
-    total = small.agg(F.sum(n)).first()[0] or 0
+    if total is None:
+        total = small.agg(F.sum(n)).first()[0] or 0
     least = math.ceil(total / MAX_HEAVY)
     heavy, light = F.broadcast(small.where(F.col(n) >= least)), small.where(F.col(n) < least)
     found = rows.join(heavy, on)

@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from siltworks.llm.line_dedup import line_dedup, suffix_intervals
+from siltworks.llm.line_dedup import common_prefixes, line_dedup, repeated_lines, suffix_intervals, suffix_paths
 from siltworks.llm.queries import op1_line_dedup
 
 
@@ -40,15 +42,33 @@ def test_repeated_rows_null_keys_and_empty_table(spark):
     assert line_dedup(docs.limit(0)).count() == 0
 
 
-def test_order_of_suffixes(spark):
-    docs = spark.createDataFrame([(1, "a\nb\nc\nz"), (2, "a\nb\nc"), (3, "a\nb\nd"), (4, "d\na\nb")], "doc_id long, text string")
-    rows = suffix_intervals(docs, "doc_id", "text", 2).collect()
-    by_rank = {}
-    for r in rows:
-        by_rank.setdefault(r["rank"], set()).add((r["_key"], r["pos"]))
-    assert sorted(map(sorted, by_rank.values())) == [[(1, 0), (2, 0), (3, 0), (4, 1)], [(1, 1), (2, 1)]]
-    # a rank is the number of smaller suffixes
-    assert min(by_rank) == 0 and max(by_rank) in (2, 4)
+def test_suffix_order_common_prefixes_and_intervals(spark):
+    at = random.Random(4)
+    texts = ["\n".join(at.choice("ab" if i % 3 else "abcdefg") for _ in range(at.randint(1, 25))) for i in range(40)] + ["\n".join("xyzxyzxyzxyzq" * 3), "\n".join("xyzxyzxyzxyz" * 3)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[3])], "doc_id long, text string")
+    lines = repeated_lines(docs, "doc_id", "text")
+    suffixes = suffix_paths(lines)
+    rows = common_prefixes(suffixes).orderBy("_part", "_at").collect()
+    found = {(r["_key"], r["pos"]): r["left"] for r in lines.collect()}
+    split = {k: (texts[3] if k is None else texts[k]).split("\n") for k in [None, *range(len(texts))]}
+    suffix = lambda r: split[r["_key"]][r["pos"] : r["pos"] + found[r["_key"], r["pos"]]]
+    assert {(r["_key"], r["pos"]) for r in rows} == set(found) and len(rows) == len(found)
+    # lines are ordered by their numbers
+    number = {}
+    for r in lines.collect():
+        number[split[r["_key"]][r["pos"]]] = r["rank"]
+    ordered = [[number[x] for x in suffix(r)] for r in rows]
+    assert ordered == sorted(ordered)
+    shared = lambda x, y: next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+    expected = [0, *(shared(a, b) for a, b in zip(ordered, ordered[1:]))]
+    assert [r["common"] for r in rows] == expected
+    for n in (1, 2, 3, 5):
+        groups, said = {}, {(r["_key"], r["pos"]): r["interval"] for r in suffix_intervals(common_prefixes(suffixes, n), n).collect()}
+        for r, c in zip(rows, expected):
+            here = (r["_key"], r["pos"])
+            groups[here] = groups[before] if c >= n else len(groups)
+            before = here
+        assert len(set(groups.values())) == len(set(said.values())) == len({(groups[k], said[k]) for k in groups})
 
 
 def test_query(spark, sf):
