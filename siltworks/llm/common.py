@@ -95,6 +95,24 @@ def heavy_join(rows: DataFrame, small: DataFrame, on: list[str], n: str, total:
     return found.unionByName(rows.join(heavy.select(*on), on, "left_anti").join(light, on))
 
 
+_MADE: dict = {}
+
+
+def once_per_worker(key, make: Callable):
+    """What ``make`` gives, made once in each Python worker for a key (of content, not of identity). The last few are remembered."""
+    if key not in _MADE:
+        while len(_MADE) >= 4:
+            _MADE.pop(next(iter(_MADE)))
+        _MADE[key] = make()
+    return _MADE[key]
+
+
+def packed(df: DataFrame, but: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """The rows in one column ``_row``, so that names of other columns can't clash with an operator's own; and the columns that are not replaced (``but``)."""
+    stay = [c for c in df.columns if c not in but]
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_row")), stay
+
+
 def per_row(fn: Callable[[dict], dict], inputs: list[str], outputs: pa.Schema, carry: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A mapInArrow function: the carried columns as they are, then fn's outputs for each row, in small batches so that memory stays bounded however long the texts are."""
 

@@ -1,32 +1,40 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are the spans that the base rules find (e-mail, IP address, payment card, phone). Every seed, and every candidate, has lexical patterns: the two words before it, and the words on its two sides. Patterns
-and instances (distinct strings) form a graph. Spark scores it in rounds: a pattern's confidence in a kind is the mean score of its
-distinct instances, with PRIOR instances of score 0 added, if MIN_SEEDS distinct seeds support it; an instance's score is the
-noisy-or of its patterns' confidences. Candidates in a pattern of confidence CONFIDENT that have the shape of its kind are added.
+Seeds are the spans that the base rules find (e-mail, IP address, payment card, phone) and secrets: long values of letters and
+digits that are assigned to a name like token or password. Every seed, and every candidate with the shape of a kind, has lexical
+patterns: the two words before it, and the words on its two sides. Patterns and instances (distinct strings) form a graph. Spark
+scores it in rounds: a pattern's confidence in a kind is the mean score of its distinct instances, with PRIOR instances of score 0
+added, if MIN_SEEDS distinct instances of score CONFIDENT support it; an instance's score is the noisy-or of the confidences of its
+patterns, in the kinds whose shape it has. So what a pattern discovers supports further patterns in the next round. Rounds go on
+until no pattern is new, ROUNDS at most. Candidates in a pattern of confidence CONFIDENT that have the shape of its kind are added.
 
 Candidates are the tokens between white space with a digit or an @; what is joined by [at] or (at), with a space on each side at
 most; and, outside base spans, runs of digits with single separators (space, dot, hyphen, slash, brackets) that have a kind's shape.
-If a whole run has none, the shaped pieces between spaces at its two ends are tried. Found spans that lie in a larger found one are dropped.
+If a whole run has none, the shaped pieces between spaces at its two ends are tried. Found spans that lie in a larger found one are
+dropped. Tokens and runs may be of any length, context words of LONGEST code points; the graph holds long ones by their hashes.
 
-Sums over a pattern are pre-aggregated before the shuffle, so a pattern with very many instances is no hot group.
+Sums over a pattern are pre-aggregated before the shuffle, and the heavy instances and patterns of a join are broadcast, so a pattern
+with very many instances, or a string in very many patterns, is no hot group.
 
-Defined cases: a null text is empty and has no spans; repeated rows get the same spans each; an empty table gives no
-rows; columns named like an output column are replaced. Places are code points, ends exclusive.
+Defined cases: a null text is empty and has no spans; very long texts are read whole; repeated rows get the same spans each; an empty
+table gives no rows; columns named like an output column are replaced, others may have any name. Places are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siltworks.llm.common import per_row, stored
+from siltworks.llm.common import heavy_join, per_row, scratch, stored
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -39,12 +47,16 @@ AT = re.compile(r"[\[(]\x20?at\x20?[\])]", re.I)
 BESIDE = re.compile(r"\x20?\S*")
 RUN = re.compile(r"[(\[]?[0-9](?:[)\]]?[\x20./\u00a0-]?[(\[]?[0-9])*+")
 GROUP = re.compile(r"[^\x20\u00a0]+")
+WORD = re.compile(r"\S+")
+ASSIGNED = re.compile(r"[=:]\s*[\"']?([A-Za-z0-9+/_=.-]{16,})")
+NAMED = re.compile(r"(?:api[_ -]?key|access[_ -]?key|token|secret|passw(?:or)?d|pwd)[\"']?\s*$", re.I)
+SECRET = re.compile(r"(?=(?:[^0-9]*[0-9]){4})(?=(?:[^A-Za-z]*[A-Za-z]){4})[A-Za-z0-9+/_=.-]{16,}")
 EDGES = ".,;:!?()[]{}<>\"'|*#"
 
-#: Distinct seeds that a pattern needs, instances of score 0 that are added to it, confidence to discover, rounds of scoring.
-MIN_SEEDS, PRIOR, CONFIDENT, ROUNDS = 3, 2.0, 0.6, 3
-#: Code points on each side in which context words are looked for.
-REACH = 60
+#: Distinct supporters that a pattern needs, instances of score 0 that are added to it, confidence to discover, rounds of scoring at most.
+MIN_SEEDS, PRIOR, CONFIDENT, ROUNDS = 3, 2.0, 0.6, 6
+#: Longer strings are held by their hashes; what stands beside a place for more code points without white space is no context word.
+HELD, LONGEST = 64, 1000
 
 
 def luhn(digits: str) -> bool:
@@ -77,11 +89,16 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
+def secrets(text: str) -> list[tuple[int, int]]:
+    """Places of long values of letters and digits that are assigned to a name of a credential."""
+    return [m.span(1) for m in ASSIGNED.finditer(text) if NAMED.search(text, max(0, m.start() - 24), m.start()) and SECRET.fullmatch(m[1])]
+
+
 def shapes(token: str) -> list[str]:
     """Kinds whose form a token has, loosely: what the base rules are too strict for."""
     digits = DIGITS.sub("", token)
     found = []
-    if "@" in token or AT.search(token):
+    if 0 < token.find("@") < len(token) - 1 or AT.search(token):
         found.append("email")
     if re.fullmatch(r"[0-9]{1,3}(?:[.:\[\]]+[0-9]{1,3}){3}.*", token):
         found.append("ip")
@@ -89,19 +106,39 @@ def shapes(token: str) -> list[str]:
         found.append("card")
     elif 7 <= len(digits) <= 15 and len(digits) >= 0.6 * len(token):
         found.append("phone")
+    if SECRET.fullmatch(token):
+        found.append("secret")
     return found
 
 
-def patterns(text: str, start: int, end: int) -> list[str]:
-    word = lambda w: re.sub(r"[0-9]+", "0", w.strip(EDGES).lower())
-    before = [word(w) for w in text[max(0, start - REACH) : start].split()[-2:]]
-    after = [word(w) for w in text[end : end + REACH].split()[:1]]
-    found = []
-    if len(before) == 2 and all(before):
-        found.append(f"{before[0]} {before[1]} _")
-    if before and before[-1] and after and after[0]:
-        found.append(f"{before[-1]} _ {after[0]}")
-    return found
+def held(said: str) -> str:
+    return said if len(said) <= HELD else hashlib.sha256(said.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+class Contexts:
+    """Patterns of the places of a text; its words are looked for once, when the first place asks."""
+
+    def __init__(self, text: str):
+        self.text, self.words = text, None
+
+    def __call__(self, start: int, end: int) -> list[str]:
+        if self.words is None:
+            self.words = [m.span() for m in WORD.finditer(self.text)]
+        text, words = self.text, self.words
+        word = lambda a, b: held(re.sub(r"[0-9]+", "0", text[a:b].strip(EDGES).lower())) if b - a <= LONGEST else ""
+        i = bisect_left(words, (start,))
+        before = [word(a, min(b, start)) for a, b in words[max(0, i - 2) : i]]
+        # a word that goes on behind the place counts from there
+        j = bisect_left(words, (end,))
+        if j and words[j - 1][1] > end:
+            j -= 1
+        after = [word(max(a, end), b) for a, b in words[j : j + 1]]
+        found = []
+        if len(before) == 2 and all(before):
+            found.append(f"{before[0]} {before[1]} _")
+        if before and before[-1] and after and after[0]:
+            found.append(f"{before[-1]} _ {after[0]}")
+        return found
 
 
 def tokens(text: str):
@@ -116,7 +153,7 @@ def tokens(text: str):
         whole = text[start:end]
         start += len(whole) - len(whole.lstrip(EDGES))
         end -= len(whole) - len(whole.rstrip(EDGES))
-        if end - start >= 5:
+        if start < end:
             yield start, end
 
 
@@ -139,8 +176,6 @@ def runs(text: str, low: int, high: int):
     """Places of the shaped runs of digits in a part of the text, or of the shaped pieces at the ends of a run."""
     for m in RUN.finditer(text, low, high):
         start, end = m.span()
-        if end - start < 5:
-            continue
         if text[start] in "([" and not re.search(r"[)\]]", m[0]):
             start += 1
         if shapes(text[start:end]):
@@ -150,21 +185,26 @@ def runs(text: str, low: int, high: int):
         # a shape has 19 digits at most, so no more groups can be in a piece
         for n in range(1, min(len(edges), 20)):
             for a, b in {(start, edges[n - 1][1]), (edges[-n][0], end)}:
-                if b - a >= 5 and shapes(text[a:b]):
+                if shapes(text[a:b]):
                     yield a, b
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 MENTIONS = pa.list_(pa.struct([("seed", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("patterns", pa.list_(pa.string())), ("shapes", pa.list_(pa.string()))]))
 FOUND = pa.schema([*((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("base", SPANS), ("mentions", MENTIONS)])
-FOUND_DDL = ", ".join([*(f"n_{k} bigint" for k in KINDS), "base_sha256 string", "base array<struct<kind:string,start:int,end:int>>"]) + ", mentions array<struct<seed:string,start:int,end:int,instance:string,patterns:array<string>,shapes:array<string>>>"
+SPANS_DDL = "array<struct<kind:string,start:int,end:int>>"
+FOUND_DDL = ", ".join([*(f"n_{k} bigint" for k in KINDS), f"base_sha256 string, base {SPANS_DDL}"]) + ", mentions array<struct<seed:string,start:int,end:int,instance:string,patterns:array<string>,shapes:array<string>>>"
 
 
 def examine(text: str | None) -> tuple:
+    """Counts, hash and spans of the base rules (and secrets among the spans), and all mentions that have patterns: seeds and shaped candidates."""
     text = text or ""
-    base = base_spans(text)
-    taken = sorted(s[1:] for s in base)
-    mentions = [(k, s, e, text[s:e].lower(), p, [k]) for k, s, e in base if (p := patterns(text, s, e))]
+    base, patterns = base_spans(text), Contexts(text)
+    counts = [sum(s[0] == k for s in base) for k in KINDS]
+    said = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+    seeds = [*base, *(("secret", s, e) for s, e in secrets(text))]
+    taken = sorted(s[1:] for s in seeds)
+    mentions = [(k, s, e, held(text[s:e].lower()), p, [k]) for k, s, e in seeds if (p := patterns(s, e))]
     places, low = set(tokens(text)) | set(at_signs(text)), 0
     for start, end in [*taken, (len(text), len(text))]:
         if start > low:
@@ -176,48 +216,57 @@ def examine(text: str | None) -> tuple:
             i += 1
         if any(s < end and e > start for s, e in taken[i : i + 3]):
             continue
-        if p := patterns(text, start, end):
-            said = text[start:end].lower()
-            mentions.append((None, start, end, said if len(said) <= 64 else hashlib.sha256(said.encode("utf-8", "surrogatepass")).hexdigest(), p, shapes(text[start:end])))
-    counts = [sum(s[0] == k for s in base) for k in KINDS]
-    said = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        if (kinds := shapes(text[start:end])) and (p := patterns(start, end)):
+            mentions.append((None, start, end, held(text[start:end].lower()), p, kinds))
     names = ("seed", "start", "end", "instance", "patterns", "shapes")
-    return *counts, hashlib.sha256(said.encode()).hexdigest(), [dict(zip(("kind", "start", "end"), s, strict=True)) for s in base], [dict(zip(names, m, strict=True)) for m in mentions]
+    return *counts, hashlib.sha256(said.encode()).hexdigest(), [dict(zip(("kind", "start", "end"), s, strict=True)) for s in seeds], [dict(zip(names, m, strict=True)) for m in mentions]
 
 
 def confident_patterns(mentions: DataFrame) -> DataFrame:
-    """pattern, kind, confidence of the patterns that discover; mentions: one row per mention."""
-    edges = stored(mentions.select(F.explode("patterns").alias("pattern"), "instance", "seed").groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
-    size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    seeds = edges.where("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
-    support = edges.where("seed is not null").groupBy("pattern", F.col("seed").alias("kind")).agg(F.count("*").alias("seeds")).where(F.col("seeds") >= MIN_SEEDS)
-    scores, confidence = seeds, None
+    """pattern, kind, confidence and m (its mentions) of the patterns that discover; mentions: one row per mention."""
+    edges = mentions.select(F.explode("patterns").alias("pattern"), "instance", "seed", "shapes")
+    edges = stored(edges.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.max("shapes").alias("shapes"), F.count("*").alias("m")))
+    size = stored(edges.groupBy("pattern").agg(F.count("*").alias("n"), F.sum("m").alias("m")))
+    degree = stored(edges.groupBy("instance").agg(F.count("*").alias("degree"), F.max("seed").alias("seed")))
+    # a string that is a seed anywhere is known everywhere
+    seeds = degree.where("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
+    unseen = edges.join(degree.where("seed is null").select("instance"), "instance", "left_semi")
+    scores, confident, before = seeds, None, 0
     for _ in range(ROUNDS):
-        sums = edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("sum"))
-        confidence = stored(sums.join(support, ["pattern", "kind"]).join(size, "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + PRIOR)).alias("confidence")))
-        told = edges.where("seed is null").join(confidence, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
-        scores = seeds.unionByName(told)
-    return confidence.where(F.col("confidence") >= CONFIDENT)
+        known = stored(scores.groupBy("instance").agg(F.collect_list(F.struct("kind", "score")).alias("kinds")).join(degree.select("instance", "degree"), "instance"))
+        told = heavy_join(edges.select("pattern", "instance"), known, ["instance"], "degree").select("pattern", F.explode("kinds").alias("k")).select("pattern", "k.*")
+        sums = told.groupBy("pattern", "kind").agg(F.sum("score").alias("sum"), F.count_if(F.col("score") >= CONFIDENT).alias("support")).where(F.col("support") >= MIN_SEEDS)
+        scored = stored(sums.join(size, "pattern").select("pattern", "kind", (F.col("sum") / (F.col("n") + PRIOR)).alias("confidence"), "n", "m"))
+        confident = scored.where(F.col("confidence") >= CONFIDENT)
+        if (n := confident.count()) == before:
+            break
+        before = n
+        by_pattern = stored(scored.groupBy("pattern").agg(F.collect_list(F.struct("kind", "confidence")).alias("kinds"), F.max("n").alias("n")))
+        reached = heavy_join(unseen.select("pattern", "instance", "shapes"), by_pattern, ["pattern"], "n").select("instance", "shapes", F.explode("kinds").alias("k")).where(F.array_contains("shapes", F.col("k.kind")))
+        scores = seeds.unionByName(reached.groupBy("instance", F.col("k.kind").alias("kind")).agg((1 - F.exp(F.sum(F.log(1 - F.col("k.confidence"))))).alias("score")))
+    return confident
 
 
 def find_personal_data(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The carried columns (all by default) with n_email, n_ip, n_card, n_phone (base spans), base_sha256 and entities: all spans (kind, start, end), in order."""
-    new = [*FOUND.names, "entities"]
+    new = [*(f"n_{k}" for k in KINDS), "base_sha256", "entities"]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in new]
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carry).schema), FOUND_DDL])
-    source = docs.select(*carry, *([] if text in carry else [text]))
-    seen = stored(source.mapInArrow(per_row(examine, [text], FOUND, carry), fields).withColumn("_row", F.monotonically_increasing_id()))
-    mentions = seen.select("_row", F.explode("mentions").alias("m")).select("_row", "m.*")
-    good = confident_patterns(mentions)
-    unseen = mentions.where("seed is null").select("_row", "start", "end", "shapes", F.explode("patterns").alias("pattern")).join(good, "pattern").where(F.array_contains("shapes", F.col("kind")))
-    added = unseen.groupBy("_row", "start", "end").agg(F.max_by("kind", "confidence").alias("kind"))
-    wider = Window.partitionBy("_row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
-    added = added.withColumn("_reached", F.max("end").over(wider)).where("_reached is null or end > _reached").groupBy("_row").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
-    order = F.array(*map(F.lit, KINDS))
-    spans = F.concat("base", F.coalesce("more", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)")))
-    ranked = F.array_sort(F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    entities = F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return seen.join(added, "_row", "left").withColumn("entities", entities).select(*(F.col(f"`{c}`") for c in carry), *(f"n_{k}" for k in KINDS), "base_sha256", "entities")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry), F.lit(0).alias("_none")).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    schema = StructType([rows.schema["_row"], *StructType.fromDDL(FOUND_DDL).fields])
+    with scratch(docs.sparkSession) as kept:
+        seen = stored(rows.mapInArrow(per_row(examine, ["_text"], FOUND, ["_row"]), schema).withColumn("_number", F.monotonically_increasing_id()))
+        mentions = seen.select("_number", F.explode("mentions").alias("m")).select("_number", "m.*")
+        good = stored(confident_patterns(mentions).groupBy("pattern").agg(F.collect_list(F.struct("kind", "confidence")).alias("kinds"), F.max("m").alias("m")))
+        unseen = mentions.where("seed is null").select("_number", "start", "end", "shapes", F.explode("patterns").alias("pattern"))
+        found = heavy_join(unseen, good, ["pattern"], "m").select("_number", "start", "end", "shapes", F.explode("kinds").alias("k")).where(F.array_contains("shapes", F.col("k.kind")))
+        added = found.groupBy("_number", "start", "end").agg(F.max_by("k.kind", F.struct("k.confidence", "k.kind")).alias("kind"))
+        wider = Window.partitionBy("_number").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+        added = added.withColumn("_reached", F.max("end").over(wider)).where("_reached is null or end > _reached").groupBy("_number").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more"))
+        order = F.array(*map(F.lit, ALL_KINDS))
+        spans = F.concat("base", F.coalesce("more", F.expr(f"cast(array() as {SPANS_DDL})")))
+        ranked = F.array_sort(F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+        entities = F.transform(ranked, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+        return kept(seen.join(added, "_number", "left").withColumn("entities", entities).select(*(F.col(f"_row.`{c}`") for c in carry), *new))
 
 
 def redact(docs: DataFrame, text: str = "text", entities: str = "entities") -> DataFrame:

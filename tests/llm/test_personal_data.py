@@ -67,3 +67,31 @@ def test_contexts_discover_grouped_and_at_forms(spark):
     for i, ((a, x, _), kind) in enumerate(zip(new, kinds, strict=True), len(known)):
         at = len(f"my {a} ")
         assert [tuple(e) for e in rows[i]["entities"]] == [(kind, at, at + len(x))], x
+
+
+def test_what_is_discovered_induces_patterns(spark):
+    known = [("call me on", f"+1 555 010 {i:04d}", "thanks") for i in range(30)]
+    # the first context has seeds, the second one is reached through strings that the first discovers, the third through the second
+    hop1 = [("call me on", f"555-011-{i:04d}", "thanks") for i in range(12)]
+    hop2 = [("ring her at", f"555-011-{i:04d}", "today") for i in range(12)] + [("ring her at", f"555-012-{i:04d}", "today") for i in range(2)]
+    hop3 = [("the fax is", f"555-012-{i:04d}", "there") for i in range(2)] + [("the fax is", f"555-011-{i:04d}", "there") for i in range(8)] + [("the fax is", "555-013-0000", "there")]
+    clean = [("part number", f"555-02{i % 10}-{i:04d}", "ordered") for i in range(30)] + [("in the year", f"{1900 + i}", "he") for i in range(30)]
+    texts = [f"please {a} {x} {b} {'word ' * 40}" for a, x, b in known + hop1 + hop2 + hop3 + clean]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    rows = {r["doc_id"]: r for r in find_personal_data(docs).collect()}
+    dirty = len(known + hop1 + hop2 + hop3)
+    found = {i for i, r in rows.items() if r["entities"]}
+    right = len(found & set(range(dirty)))
+    assert right >= 0.9 * dirty and right >= 0.9 * len(found)
+    last = rows[dirty - 1]
+    at = texts[dirty - 1].index("555-013")
+    assert [tuple(e) for e in last["entities"]] == [("phone", at, at + 12)]
+    assert all(rows[i]["base_sha256"] == hashlib.sha256(b"").hexdigest() for i in range(len(known), len(texts)))
+
+
+def test_secrets_and_long_contexts(spark):
+    key = lambda i: hashlib.sha256(str(i).encode()).hexdigest()[:40]
+    long = "x" * 500
+    texts = [f'a token = "{key(i)}" b' for i in range(9)] + [f"commit {key(99)} was made", "token = none", f"{long} {long} a@b.cd {long}", "a " * 20_000 + "my password: Aa11Bb22Cc33Dd44Ee"]
+    rows = {r["doc_id"]: r["entities"] for r in find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [[e["kind"] for e in rows[i]] for i in range(len(texts))] == [["secret"]] * 9 + [[], [], ["email"], ["secret"]]
