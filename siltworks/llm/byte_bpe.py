@@ -5,8 +5,9 @@ pairs that start there. Each merge takes the root and makes logarithmic point up
 neighbours, so a long match without white space costs n log n. Nodes have ``FAN`` children, whose least one call finds: the
 tree of a usual match is its leaves and a root.
 
-Defined cases: a null text is empty and has no tokens; every text's decoded bytes are its UTF-8 bytes; columns named like
-an output column are replaced. The vocabulary file's path is a parameter; its bytes (a file of fixed size) are broadcast.
+Defined cases: a null text is empty and has no tokens; every text's decoded bytes are its UTF-8 bytes; very long texts are
+encoded whole, match by match; repeated rows get the same ids each; an empty table gives no rows; columns named like an output
+column are replaced, others may have any name. The vocabulary file's path is a parameter; its bytes (a file of fixed size) are broadcast.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltworks.llm.common import per_row
+from siltworks.llm.common import once_per_worker, per_row
 
 #: Distinct matches remembered by a Python worker.
 REMEMBERED = 500_000
@@ -110,17 +111,11 @@ class Codec(dict):
 
 
 def codec_for(spark, vocabulary: str, pattern: str):
-    """A function that each Python worker calls to get its codec."""
-    ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
-
-    def get(cache={}):  # noqa: B006  one for each Python worker
-        key = (id(ranks), pattern)
-        if key not in cache:
-            cache.clear()
-            cache[key] = Codec(ranks.value, pattern)
-        return cache[key]
-
-    return get
+    """A function that each Python worker calls to get its codec, which lasts from task to task with what it remembers."""
+    ranks = read_ranks(vocabulary)
+    key = hashlib.sha256(repr((sorted(ranks.items(), key=lambda x: x[1]), pattern)).encode()).hexdigest()
+    sent = spark.sparkContext.broadcast(ranks)
+    return lambda: once_per_worker(key, lambda: Codec(sent.value, pattern))
 
 
 def _fields(df: DataFrame, carry: list[str]) -> list[str]:
