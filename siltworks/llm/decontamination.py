@@ -7,8 +7,9 @@ select the windows to test, and direct comparison confirms each occurrence.
 The benchmark is searched for in blocks of bounded size (``block_bytes``), each against all documents; only one block is
 broadcast at a time, so a benchmark of any size is searched for whole.
 
-Defined cases: null and empty texts have no words; repeated items each count by their own item_id; repeated rows are
-judged alike; empty tables give empty or clean results; columns named like an output column are replaced.
+Defined cases: null and empty texts have no words; very long texts are searched whole; repeated items each count by their own
+item_id; all items with a null item_id are one item, which counts in n_items and has no name in items_sha256; repeated rows are
+judged alike; empty tables give empty or clean results; columns named like an output column are replaced, others may have any name.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import per_row
+from siltworks.llm.common import once_per_worker, packed, per_row, scratch, stored
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -69,9 +70,9 @@ class WuManber:
 class Matcher:
     """All windows of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = 13):
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = 13):
         self.vocabulary: dict[bytes, int] = {}
-        self.owners: dict[tuple[int, ...], set[str]] = defaultdict(set)
+        self.owners: dict[tuple[int, ...], set[str | None]] = defaultdict(set)
         for item, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             for at in range(max(1, len(ids) - window + 1) if ids else 0):
@@ -81,7 +82,7 @@ class Matcher:
             lengths[len(w)].append(w)
         self.machines = [WuManber(ws, n, len(self.vocabulary) + 1) for n, ws in sorted(lengths.items())]
 
-    def __call__(self, text: str | None) -> tuple[int, list[int], list[str]]:
+    def __call__(self, text: str | None) -> tuple[int, list[int], list[str | None]]:
         """Number of words, the hit words' places, the items."""
         words = words_of(text)
         number = self.vocabulary.get
@@ -91,11 +92,11 @@ class Matcher:
             for start, window in machine.search(ids):
                 hit.update(range(start, start + machine.length))
                 items |= self.owners[window]
-        return len(words), sorted(hit), sorted(items)
+        return len(words), sorted(hit), sorted(items, key=lambda i: (i is None, i or ""))
 
 
-def digest(n_words: int, hit: int, items: list[str]) -> tuple:
-    return n_words, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), hit > 0 and 20 * hit >= n_words
+def digest(n_words: int, hit: int, items: list[str | None]) -> tuple:
+    return n_words, hit, len(items), hashlib.sha256(",".join(i for i in items if i is not None).encode()).hexdigest(), hit > 0 and 20 * hit >= n_words
 
 
 NEW = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
@@ -117,42 +118,44 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carry).schema]
 
     def block(k: int):
-        rows = benchmark.where(part == k).select(F.col("item_id").cast("string"), "text").collect()
-        return spark.sparkContext.broadcast([(str(r[0]), r[1]) for r in rows])
+        rows = [tuple(r) for r in benchmark.where(part == k).select(F.col("item_id").cast("string"), "text").collect()]
+        return hashlib.sha256(repr(sorted(rows, key=repr)).encode("utf-8", "surrogatepass")).hexdigest(), spark.sparkContext.broadcast(rows)
 
-    def machine(items, cache={}):  # noqa: B006  one matcher for each Python worker and block
-        key = (id(items), len(items.value))
-        if key not in cache:
-            cache.clear()
-            cache[key] = Matcher(items.value, window)
-        return cache[key]
+    def machine(name, items):
+        return once_per_worker((name, window), lambda: Matcher(items.value, window))
 
     if n_blocks == 1:
-        items = block(0)
+        name, items = block(0)
 
         def judged(batches):
-            match = machine(items)
+            match = machine(name, items)
             return per_row(lambda t: digest((r := match(t))[0], len(r[1]), r[2]), [text], NEW, carry)(batches)
 
         return source.mapInArrow(judged, ", ".join([*fields, DDL]))
 
-    from siltworks.llm.common import stored
-
-    numbered = stored(source.withColumn("_row", F.monotonically_increasing_id()))
-    found = None
-    for k in range(n_blocks):
-        items = block(k)
-
-        def hits(batches, items=items):
-            match = machine(items)
-            schema = pa.schema([("n", pa.int64()), ("hit", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
-            return per_row(match, [text], schema, ["_row"])(batches)
-
-        one = numbered.select("_row", text).mapInArrow(hits, "_row bigint, n bigint, hit array<int>, items array<string>")
-        found = one if found is None else found.unionByName(one)
-    merged = found.groupBy("_row").agg(F.max("n").alias("n_words"), F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("bigint").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    full = numbered.join(merged, "_row")
-    return full.select(
-        *(F.col(f"`{c}`") for c in carry), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    rows, _ = packed(source)
+    with scratch(spark) as kept:
+        numbered = stored(rows.withColumn("_number", F.monotonically_increasing_id()))
+        found = None
+        for k in range(n_blocks):
+            name, items = block(k)
+
+            def hits(batches, name=name, items=items):
+                match = machine(name, items)
+                schema = pa.schema([("n", pa.int64()), ("hit", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+                return per_row(match, ["text"], schema, ["_number"])(batches)
+
+            # each block's hits are written before the next block is read
+            one = stored(numbered.select("_number", F.col(f"_row.`{text}`").alias("text")).mapInArrow(hits, "_number bigint, n bigint, hit array<int>, items array<string>"))
+            items.destroy()
+            found = one if found is None else found.unionByName(one)
+        return kept(merged_hits(numbered, found, carry))
+
+
+def merged_hits(numbered: DataFrame, found: DataFrame, carry: list[str]) -> DataFrame:
+    """The rows with the hits of all blocks."""
+    merged = found.groupBy("_number").agg(F.max("n").alias("n_words"), F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).cast("bigint").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return numbered.join(merged, "_number").select(
+        *(F.col(f"_row.`{c}`") for c in carry), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
