@@ -1,12 +1,13 @@
 """Two-pass external shuffle.
 
-Pass one counts records per bucket; a seeded hash of the key scatters records uniformly into buckets sized for memory.
-Pass two Fisher-Yates shuffles each bucket in one task. A record's place in the whole permutation is its bucket's offset
+Pass one scatters records uniformly into buckets sized for memory, by a seeded hash of key and text. Pass two Fisher-Yates
+shuffles each bucket in one task and writes it; then the buckets are counted. A record's place in the whole permutation is its bucket's offset
 plus its place in the bucket; places are dealt to shards in turn, so shard sizes differ by one record at most
 (law ``rows``) and slots have no gaps.
 
-Defined cases: a null text counts as no bytes; rows with the same key fall into one bucket, in the order of their texts; a
-null key is hashed like any value; an empty table gives no rows; columns named bucket, place, shard or slot are replaced.
+Defined cases: a null text counts as no bytes; rows equal in key and text fall into one bucket for each task that reads them;
+a null key is hashed like any value; very long texts are in one bucket with others, which is larger by them; an empty table gives
+no rows; columns named shard or slot are replaced, others may have any name.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from siltworks.llm.common import packed, stored
 
 #: Bound of the table of bucket offsets, which is broadcast: 16 bytes each.
 MAX_BUCKETS = 1 << 20
@@ -33,24 +37,27 @@ def fisher_yates(n: int, seed: tuple[int, ...]) -> np.ndarray:
 
 def external_shuffle(docs: DataFrame, n_shards: int = 8, seed: int = 20, key: str = "doc_id", text: str = "text", bucket_bytes: int = 8 << 20) -> DataFrame:
     """Every record of docs with shard (int) and slot (long)."""
-    docs = docs.drop("bucket", "place", "shard", "slot")
+    rows, carried = packed(docs, ("shard", "slot"))
     size = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(1))).first()[0] or 1
     n_buckets = min(MAX_BUCKETS, math.ceil(size / bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(n_buckets)).cast("int")
-    counts = docs.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    # one row per bucket: MAX_BUCKETS at most, whatever the input
-    offsets = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
+    which = F.struct(F.col(f"_row.`{key}`").alias("key"), F.xxhash64(F.col(f"_row.`{text}`")).alias("hash"))
+    # repeated rows are told apart by the task that reads them, so that no bucket gets them all
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "which", F.spark_partition_id()), F.lit(n_buckets)).cast("int")
+    scattered = rows.withColumn("which", which).withColumn("bucket", bucket)
 
     def shuffled(key_values: tuple, group: pa.Table) -> pa.Table:
-        group = group.take(pa.compute.sort_indices(group, sort_keys=[(key, "ascending"), (text, "ascending")]))
+        which = group.column("which").combine_chunks()
+        group = group.take(pa.compute.sort_indices(pa.table({"k": which.field("key"), "h": which.field("hash")}), sort_keys=[("k", "ascending"), ("h", "ascending")]))
         group = group.take(pa.array(fisher_yates(group.num_rows, (seed, key_values[0].as_py()))))
         return group.append_column("place", pa.array(np.arange(group.num_rows), pa.int64()))
 
-    scattered = docs.withColumn("bucket", bucket)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in scattered.schema), "place bigint"])
-    mixed = scattered.groupBy("bucket").applyInArrow(shuffled, schema).join(F.broadcast(offsets), "bucket")
+    schema = StructType(scattered.schema.fields).add("place", "bigint")
+    mixed = stored(scattered.groupBy("bucket").applyInArrow(shuffled, schema).drop("which"))
+    counts = mixed.groupBy("bucket").agg(F.count("*").alias("n"))
+    # one row per bucket: MAX_BUCKETS at most, whatever the input
+    offsets = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
     whole = F.col("offset") + F.col("place")
-    return mixed.withColumns({"shard": (whole % n_shards).cast("int"), "slot": F.floor(whole / n_shards)}).drop("bucket", "place", "offset")
+    return mixed.join(F.broadcast(offsets), "bucket").select(*(F.col(f"_row.`{c}`") for c in carried), (whole % n_shards).cast("int").alias("shard"), F.floor(whole / n_shards).alias("slot"))
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
