@@ -2,12 +2,13 @@
 
 Each element node has features: text density of its subtree, links, depth, sibling statistics, and tokens of its tag, class
 and id and of its ancestors'. The trees are trained with Spark ML on the nodes of a sample of ``sample_pages`` pages
-(a documented bound), labelled from pages' own semantic markup; in half of these pages the tokens are hidden, so that
-shape alone must do. Decoding goes down the tree: a rejected node takes its whole subtree with it, so no part is
+(a documented bound), labelled from pages' own semantic markup; each page is in the sample twice, once with its tokens hidden,
+so that shape alone must do. Decoding goes down the tree: a rejected node takes its whole subtree with it, so no part is
 kept below a rejected ancestor; the choice with the largest sum of scores, weighted by text, is taken.
 
-Defined cases: a null or empty page has an empty text; unclosed and cut-off markup is closed at the end; repeated rows are
-treated alike; an empty table gives no rows; columns named text or n_chars are replaced.
+Defined cases: a null or empty page has an empty text; unclosed and cut-off markup is closed at the end; a quote that is never
+closed is a character; very long and deep pages take time in proportion to their length; repeated rows are treated alike; an empty
+table gives no rows; columns named text or n_chars are replaced, others may have any name.
 """
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltworks.llm.boosted_trees import fit, margins
 from siltworks.llm.common import per_row
@@ -34,8 +37,11 @@ BAD = frozenset(
     "nav menu header footer aside form ad ads advert advertisement banner sidebar cookie cookies notice consent comment comments respond share social related promo newsletter breadcrumb breadcrumbs pagination sponsor sponsored popup modal toolbar widget masthead".split()
 )
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+# quotes open a value only after =; one that is never closed is a character of an unquoted value
+ATTRIBUTES = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|[^>=]++)*+"""
+TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+SELF_CLOSED = re.compile(r"""(?:\A|[\s"'])/\s*\Z""")
 N_FEATURES = 16
 
 
@@ -62,6 +68,19 @@ def parse(page: str) -> list[Node]:
     """The element nodes in page order; text stands in their parts as strings."""
     root = Node("html", None)
     nodes, here, at, n = [root], root, 0, len(page)
+    # tags that are not closed any more behind a place, and how often a tag is open: so a page takes time in proportion to its length
+    never: set[str] = set()
+    open_: Counter[str] = Counter()
+
+    def close(down_to: Node) -> Node:
+        """Closes what is open below a node and the node itself."""
+        up = here
+        while up is not down_to:
+            open_[up.tag] -= 1
+            up = up.parent
+        open_[up.tag] -= 1
+        return up.parent
+
     while at < n:
         found = page.find("<", at)
         if found < 0:
@@ -80,30 +99,38 @@ def parse(page: str) -> list[Node]:
             continue
         tag = m[2].lower()
         if m[1]:
-            up = here
-            while up and up.tag != tag:
-                up = up.parent
-            if up and up.parent:
-                here = up.parent
+            if open_[tag]:
+                up = here
+                while up.tag != tag:
+                    up = up.parent
+                here = close(up)
             continue
+        closed = SELF_CLOSED.search(m[3]) is not None
         if tag in RAW:
-            if not m[3].rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = close.end() if close else n if tag in ("script", "style", "title", "textarea") else at
+            if not closed and tag not in never:
+                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                else:
+                    never.add(tag)
+            if not closed and tag in never and tag in ("script", "style", "title", "textarea"):
+                at = n
             continue
         if tag in ("html", "head", "body"):
             continue
         if tag in CLOSES_P or tag == "li":
             goal = "li" if tag == "li" else "p"
-            up = here
-            while up and up.tag != goal and (up.tag in INLINE or up.tag == "p"):
-                up = up.parent
-            if up and up.tag == goal:
-                here = up.parent
+            if open_[goal]:
+                up = here
+                while up and up.tag != goal and (up.tag in INLINE or up.tag == "p"):
+                    up = up.parent
+                if up and up.tag == goal:
+                    here = close(up)
         node = Node(tag, here, m[3])
         nodes.append(node)
-        if tag not in VOID and not m[3].endswith("/"):
+        if tag not in VOID and not closed:
             here = node
+            open_[tag] += 1
     return nodes
 
 
@@ -196,20 +223,23 @@ def main_text(pages: DataFrame, html_column: str = "html", key: str = "page_id",
     carry = [c for c in (pages.columns if carry is None else carry) if c not in ("text", "n_chars")]
     n = pages.count()
     share = 1.0 if n <= sample_pages else sample_pages / n
-    picked = pages.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(share * (1 << 30))).limit(2 * sample_pages)
+    # by the page itself, so that the sample doesn't depend on how rows are dealt
+    chosen = pages.select(F.col(f"`{html_column}`").alias("html"), F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{html_column}`")).alias("hash"))
+    picked = chosen.where(F.pmod("hash", F.lit(1 << 30)) < int(share * (1 << 30))).orderBy("hash", "html").limit(2 * sample_pages)
 
     def node_rows(batches):
         for batch in batches:
-            rows = [r for i, page in enumerate(batch.column(0).to_pylist()) for r in labelled(page or "", hide=i % 2 == 1)]
+            rows = [r for page in batch.column(0).to_pylist() for hide in (False, True) for r in labelled(page or "", hide)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.int32())], names=["x", "y"])
 
-    sample = picked.select(html_column).mapInArrow(node_rows, "x array<double>, y int").persist()
+    sample = picked.mapInArrow(node_rows, "x array<double>, y int").persist()
     trees = fit(sample, "x", "y")
     sample.unpersist()
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(carry).schema), "text string, n_chars bigint"])
+    rows = pages.select(F.struct(*(F.col(f"`{c}`") for c in carry), F.lit(0).alias("_none")).alias("_row"), F.col(f"`{html_column}`").alias("_html"))
     schema = pa.schema([("text", pa.string()), ("n_chars", pa.int64())])
 
     def run(batches):
-        return per_row(lambda page: extract(page, trees), [html_column], schema, carry)(batches)
+        return per_row(lambda page: extract(page, trees), ["_html"], schema, ["_row"])(batches)
 
-    return pages.select(*carry, *([] if html_column in carry else [html_column])).mapInArrow(run, fields)
+    found = rows.mapInArrow(run, StructType([rows.schema["_row"]]).add("text", "string").add("n_chars", "long"))
+    return found.select(*(F.col(f"_row.`{c}`") for c in carry), "text", "n_chars")

@@ -1,8 +1,9 @@
 import re
+import time
 from html import unescape
 
 import numpy as np
-from siltworks.llm.html_text import decode, features, main_text, parse
+from siltworks.llm.html_text import blocks, decode, features, main_text, parse
 from siltworks.llm.queries import op9_html_text
 
 
@@ -25,6 +26,15 @@ def test_query_against_articles(spark):
     words = lambda t: re.findall(r"\w+", t)
     assert len(plain) >= 0.5 * len(rows)
     assert sum(words(r["text"]) == words(expected(pages[r["page_id"]]["html"])) for r in plain) >= 0.95 * len(plain)
+    assert sum(r["text"] == expected(pages[r["page_id"]]["html"]) for r in plain) >= 0.95 * len(plain)
+    # the same texts however the pages are dealt, also of pages without any semantic markup
+    shape_only = lambda h: re.sub(r"\s(?:class|id|role|itemprop)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", re.sub(r"<(/?)(?:article|main|nav|header|footer|aside|section|form)\b", r"<\1div", h or ""))
+    bare = [(i + 1_000_000, p["url"], shape_only(p["html"])) for i, p in pages.items() if "<article>" in (p["html"] or "")]
+    source = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    both = source.unionByName(spark.createDataFrame(bare, source.schema))
+    texts, again = ({r["page_id"]: r["text"] for r in main_text(x).collect()} for x in (both, both.repartition(7)))
+    assert texts == again
+    assert sum(texts[i] == expected(pages[i - 1_000_000]["html"]) for i, _, _ in bare) >= 0.9 * len(bare)
     assert all(r["n_chars"] == len(r["text"]) for r in rows)
 
 
@@ -56,3 +66,18 @@ def test_decoding_never_contradicts_ancestors():
         keep = decode(nodes, rng.normal(size=len(nodes)))
         assert keep[0]
         assert all(keep[nodes.index(x.parent)] for x, k in zip(nodes, keep, strict=True) if k and x.parent)
+
+
+def test_quotes_and_open_elements():
+    text = lambda page: blocks(nodes := parse(page), [True] * len(nodes))
+    assert text("<p title=it's>first part</p><p>second don't go</p>") == "first part\nsecond don't go"
+    assert text('<p title="abc>hello world</p>') == "hello world"
+    assert text("<p class=a/b/>x</p><img src=a/>y<br/>z") == "x\ny\nz"
+    assert text("<p title='a>b' data-x=\"c > d\" e>f</p>") == "f"
+    for page in ("<select>" * 250_000, "</b>" * 400_000, "<b>" * 100_000 + "<hr>" * 100_000, "<p title=" * 200_000, "<p a='" * 200_000 + "x"):
+        began = time.process_time()
+        parse(page)
+        assert time.process_time() - began < 10
+    began = time.process_time()
+    assert text("<p>story</p>" + "<select>" * 250_000 + "end") == "story\nend"
+    assert time.process_time() - began < 2
