@@ -6,15 +6,17 @@ of each, so the product is taken over these columns: each column is a block whos
 accumulated by Spark, and a pair is discarded if its sizes are too far apart or if its sum plus all that can follow stays below the
 overlap that its sizes ask for. What is left is counted exactly on the whole sets.
 
-Frequent columns (large groups of near copies, passages that many documents share) are not multiplied out. Their members
+Frequent columns (large groups of near copies, passages that many documents share) are not multiplied out. Most are known before,
+from repeats within chunks of shingles; a column that turns out to have FREQUENT rows is treated alike, so no column with more is
+multiplied out. The rows of a column that no chunk repeats are as many as there are chunks at most, which bounds what one task gets. Their members
 are compared with the column's first member; then, of columns that still hold several components, the members are cut into
 blocks of rows, and blocks that share such a column are multiplied as matrices in a task, which gives out only which components
 are joined. So no link between different components is lost, and copies are never expanded into all pairs.
 
 Defined cases: a document with fewer words than ``size`` has its whole sequence as one shingle; without words, or null, it
 has none, links with nothing and is its own component; rows with the same text or key are separate rows of the result;
-null keys are allowed and count in no component_id but their own (null); an empty table gives no rows; columns named
-n_shingles or component_id are replaced.
+null keys are allowed and count in no component_id but their own (null); very long texts are read whole; an empty table gives no
+rows; columns named n_shingles, component_id or first are replaced, others may have any name.
 """
 
 from __future__ import annotations
@@ -26,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siltworks.llm.common import collect_garbage, forget, stored
+from siltworks.llm.common import collect_garbage, forget, heavy_join, packed, scratch, stored
 from siltworks.llm.components import components
 from siltworks.llm.line_dedup import ranked
 
@@ -120,41 +123,56 @@ def prefixes(frequent, size: int, percent: int) -> Callable:
 
 
 def column_pairs(percent: int) -> Callable:
-    """A mapInArrow function over rows (s, c, n) sorted by s: the pairs (a, b) of each column whose sizes fit, a < b."""
+    """A mapInArrow function over rows (s, c, n, i) sorted by s: the pairs (a, b) of each column with fewer than FREQUENT rows whose
+    sizes fit, a < b; of a column with more its rows (s, c, n, i), so that no column is multiplied out whose size isn't bounded."""
 
     def pairs(s, c, n):
-        starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-        lengths = np.diff(np.append(starts, len(s)))
-        for d in range(1, int(lengths.max(initial=1))):
+        for d in range(1, FREQUENT):
             # the d-th neighbour within the same column
             left = np.flatnonzero(s[:-d] == s[d:])
             if not len(left):
                 break
-            for at in range(0, len(left), 500_000):
-                i = left[at : at + 500_000]
-                x, y, nx, ny = c[i], c[i + d], n[i], n[i + d]
-                fit = (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & (x != y)
-                if fit.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[fit]), pa.array(np.maximum(x, y)[fit])], names=["a", "b"])
+            x, y, nx, ny = c[left], c[left + d], n[left], n[left + d]
+            fit = (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & (x != y)
+            yield np.minimum(x, y)[fit], np.maximum(x, y)[fit]
+
+    def batch(pairs=None, rows=None):
+        none = lambda k: pa.nulls(k, pa.int64())
+        k = len(pairs[0] if pairs else rows[0])
+        found = [*(map(pa.array, pairs) if pairs else (none(k), none(k))), *(map(pa.array, rows) if rows else [none(k)] * 4)]
+        return pa.RecordBatch.from_arrays(found, names=["a", "b", "s", "c", "n", "i"])
 
     def run(batches):
-        rest = None
-        for batch in batches:
-            now = [batch.column(i).to_numpy() for i in range(3)]
-            if rest:
-                now = [np.concatenate(x) for x in zip(rest, now, strict=True)]
+        rest, hot = [np.empty(0, np.int64)] * 4, None
+        for b in and_end(batches):
+            now = rest if b is None else [np.concatenate(x) for x in zip(rest, (b.column(k).to_numpy() for k in range(4)), strict=True)]
             if not len(now[0]):
                 continue
-            # the last column may go on in the next batch
-            cut = np.searchsorted(now[0] != now[0][-1], False) if now[0][0] == now[0][-1] else int(np.flatnonzero(now[0] != now[0][-1])[-1]) + 1
-            yield from pairs(*(x[:cut] for x in now))
+            s = now[0]
+            starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            lengths = np.diff(np.append(starts, len(s)))
+            many = np.repeat((lengths >= FREQUENT) | (s[starts] == hot if hot is not None else False), lengths)
+            # the last column may go on in the next batch; of one that is frequent already nothing has to be kept
+            cut = len(s) if b is None or many[-1] else int(starts[-1])
+            hot = int(s[-1]) if many[-1] else None
+            done = [x[:cut] for x in now]
+            if (rows := [x[many[:cut]] for x in done]) and len(rows[0]):
+                yield batch(rows=rows)
+            few = ~many[:cut]
+            for found in pairs(*(x[few] for x in done[:3])):
+                if len(found[0]):
+                    yield batch(pairs=found)
             rest = [x[cut:] for x in now]
-        if rest:
-            yield from pairs(*rest)
 
     return run
 
 
+def and_end(batches):
+    """The batches, then None."""
+    yield from batches
+    yield None
+
+
 def overlap(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) that are links, counted on the whole sets (c, s)."""
 
@@ -184,19 +202,30 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """One row (key, n_shingles, component_id) for each row of docs; component_id: the smallest key reachable by links. Keys are of any type with an order."""
     spark = docs.sparkSession
     source = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    key_type = source.schema["key"].dataType.simpleString()
+    with scratch(spark) as kept:
+        return kept(labelled_rows(source, size, percent))
+
+
+def labelled_rows(source: DataFrame, size: int, percent: int) -> DataFrame:
+    spark = source.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_shingles(source, "text", size))
-    rows = stored(source.mapInArrow(prefixes(frequent, size, percent), f"key {key_type}, n bigint, h1 bigint, h2 bigint, first array<bigint>, hot array<bigint>"))
+    fields = StructType.fromDDL("n bigint, h1 bigint, h2 bigint, first array<bigint>, hot array<bigint>").fields
+    rows = stored(source.mapInArrow(prefixes(frequent, size, percent), StructType([source.schema["key"], *fields])))
     members = stored(rows.select("key", "n", "h1", "h2"))
-    grouped = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("rep"), *(F.first(c).alias(c) for c in ("n", "first", "hot")))
+    grouped = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("key").alias("rep"), *(F.first(c).alias(c) for c in ("n", "first", "hot")), F.count("*").alias("members"))
     classes = stored(grouped.withColumn("c", F.monotonically_increasing_id()))
     forget(rows)
     collect_garbage(spark)
 
     sizes = classes.select("c", "n", F.size("hot").cast("bigint").alias("n_hot"))
     p = lambda n: F.col(n) - F.floor((percent * F.col(n) + 99) / 100) + 1
-    incidence = classes.select("c", "n", F.explode("first").alias("s")).select("s", "c", "n")
-    product = incidence.repartition("s").sortWithinPartitions("s").mapInArrow(column_pairs(percent), "a bigint, b bigint").groupBy("a", "b").agg(F.count("*").alias("sum"))
+    incidence = classes.select("c", "n", F.posexplode("first").alias("i", "s")).select("s", "c", "n", F.col("i").cast("bigint").alias("i"))
+    # a shingle of fewer occurrences than chunks of a task's shingles need not be known as frequent: then its column is, in this order
+    product = stored(incidence.repartition("s").sortWithinPartitions("s").mapInArrow(column_pairs(percent), "a bigint, b bigint, s bigint, c bigint, n bigint, i bigint"))
+    thin = product.where("s is not null").select("c", "n", "s", (F.col("i") < reach(percent)).alias("small"))
+    product = product.where("s is null").groupBy("a", "b").agg(F.count("*").alias("sum"))
+    counted_elsewhere = thin.groupBy("c").agg(F.count("*").cast("bigint").alias("n_thin"))
+    sizes = sizes.join(counted_elsewhere, "c", "left").select("c", "n", (F.col("n_hot") + F.coalesce("n_thin", F.lit(0))).alias("n_hot"))
     for end in ("a", "b"):
         product = product.join(sizes.select(F.col("c").alias(end), F.col("n").alias(f"n_{end}"), F.col("n_hot").alias(f"hot_{end}")), end)
     more = F.greatest(F.col("n_a") - p("n_a"), F.col("n_b") - p("n_b")) + F.least("hot_a", "hot_b")
@@ -204,10 +233,10 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     candidates = stored(product.where(F.col("sum") + more >= needed).select("a", "b", "sum"))
     collect_garbage(spark)
 
-    often = classes.where(F.size("hot") > 0).select("c", "n", F.size("first").alias("cold"), F.explode("hot").alias("s"))
-    heads = often.groupBy("s").agg(F.min_by(F.struct("c", "n"), "c").alias("head")).select("s", F.col("head.c").alias("a"), F.col("head.n").alias("n_a"))
-    # as many rows as there are frequent shingles at most: MAX_FREQUENT
-    stars = often.join(F.broadcast(heads), "s").where((F.col("c") != F.col("a")) & sizes_fit("n", "n_a", percent)).groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("sum"))
+    listed = classes.where(F.size("hot") > 0).select("c", "n", F.size("first").alias("cold"), F.explode("hot").alias("s")).select("c", "n", "s", (F.col("cold") < reach(percent)).alias("small"))
+    often = listed.unionByName(thin)
+    heads = stored(often.groupBy("s").agg(F.min_by(F.struct("c", "n"), "c").alias("head"), F.count("*").alias("rows")).select("s", F.col("head.c").alias("a"), F.col("head.n").alias("n_a"), "rows"))
+    stars = heavy_join(often, heads, ["s"], "rows").where((F.col("c") != F.col("a")) & sizes_fit("n", "n_a", percent)).groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("sum"))
     stars = stored(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sum").groupBy("a", "b").agg(F.max("sum").alias("sum")))
 
     nodes = candidates.select(F.explode(F.array("a", "b")).alias("c")).unionByName(often.select("c")).distinct()
@@ -223,10 +252,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         labels = components(joined(labels, links))
     collect_garbage(spark)
 
-    named = classes.select("h1", "h2", "rep", "c").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
-    smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_hash = named.join(smallest, "component").select("h1", "h2", "component_id")
-    return members.join(by_hash, ["h1", "h2"], "left").select(F.col("key"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"))
+    named = stored(classes.select("h1", "h2", "rep", "c", "members").join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c")))
+    smallest = stored(named.groupBy("component").agg(F.min("rep").alias("component_id"), F.count("*").alias("rows")))
+    by_hash = stored(heavy_join(named, smallest, ["component"], "rows").select("h1", "h2", "component_id", "members"))
+    some = heavy_join(members.where("n > 0"), by_hash, ["h1", "h2"], "members").select("key", F.col("n").alias("n_shingles"), "component_id")
+    return some.unionByName(members.where("n = 0").select("key", F.col("n").alias("n_shingles"), F.col("key").alias("component_id")))
+
+
+def reach(percent: int) -> Column:
+    """Of two linked sets the smaller one, of n shingles, shares one with the other among so many first ones."""
+    return F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
 
 
 def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -252,10 +287,8 @@ def block_links(often: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
     multiplied as the smaller one.
     """
     labelled = often.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
-    several = labelled.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("s")
-    reach = F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1
-    # as many rows as there are frequent shingles at most: MAX_FREQUENT
-    open_ = stored(labelled.join(F.broadcast(several), "s").select("s", "c", "n", "component", (F.col("cold") < reach).alias("small")))
+    several = labelled.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi").select("s", "rows")
+    open_ = stored(heavy_join(labelled, stored(several), ["s"], "rows").select("s", "c", "n", "component", "small"))
     by = ["alike", "component", "c"]
     ordered = ranked(open_.groupBy("c", "component").agg(F.min("s").alias("alike"), F.greatest(F.max("n"), F.lit(BLOCK_SHINGLES // BLOCK_ROWS)).alias("n")), by)
     placed = stored(ordered.select("c", "component", F.floor(F.col("rank") / BLOCK_SHINGLES).alias("block")))
@@ -334,10 +367,12 @@ def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Documents are told apart by key and text; of rows equal in both all are first, or none.
     """
     docs = docs.drop("n_shingles", "component_id", "first")
-    identity = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"))
-    result = jaccard_components(docs.select(identity.alias("key"), F.col(text).alias("text")), "key", "text", size, percent).dropDuplicates(["key"])
+    identity = lambda key, text: F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"))
+    result = jaccard_components(docs.select(identity(key, text).alias("key"), F.col(text).alias("text")), "key", "text", size, percent).dropDuplicates(["key"])
     result = result.select(F.col("key").alias("_key"), "n_shingles", F.col("component_id.key").alias("component_id"), (F.col("key") == F.col("component_id")).alias("first"))
-    return docs.withColumn("_own", identity).join(result.hint("shuffle_hash"), F.col("_own") == F.col("_key")).drop("_own", "_key")
+    rows, carried = packed(docs)
+    found = rows.withColumn("_own", identity(f"_row.`{key}`", f"_row.`{text}`")).join(result.hint("shuffle_hash"), F.col("_own") == F.col("_key"))
+    return found.select(*(F.col(f"_row.`{c}`") for c in carried), "n_shingles", "component_id", "first")
 
 
 def first_of_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
