@@ -51,7 +51,7 @@ def external_shuffle(docs: DataFrame, n_shards: int = 8, seed: int = 20, key: st
         group = group.take(pa.array(fisher_yates(group.num_rows, (seed, key_values[0].as_py()))))
         return group.append_column("place", pa.array(np.arange(group.num_rows), pa.int64()))
 
-    schema = StructType(scattered.schema.fields).add("place", "bigint")
+    schema = StructType([*scattered.schema.fields]).add("place", "long")
     mixed = stored(scattered.groupBy("bucket").applyInArrow(shuffled, schema).drop("which"))
     counts = mixed.groupBy("bucket").agg(F.count("*").alias("n"))
     # one row per bucket: MAX_BUCKETS at most, whatever the input
