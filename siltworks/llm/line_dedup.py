@@ -68,7 +68,7 @@ def whole_copies(found: DataFrame, min_lines: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, key: str, text: str, min_words: int | None = None, without: DataFrame | None = None) -> DataFrame:
     """Lines (document and pos) that occur more than once, with their number as rank and the number of lines left in their sequence; with ``min_words`` also whether each is long enough to go alone."""
     flag = [] if min_words is None else ["long"]
-    long = lambda line: (F.regexp_count(line, F.lit(r"\S+")) >= min_words) | (F.length(F.trim(line)) >= 10 * min_words)
+    long = lambda line: (F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")) >= min_words) | (F.length(F.trim(line)) >= 10 * min_words)
     hashes = F.transform(F.split(text, "\n"), lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"), *(long(line).alias(f) for f in flag)))
     split = docs.where(F.col(text).isNotNull()).select(*identity(key, text), hashes.alias("lines")).dropDuplicates(DOC)
     if without is not None:

@@ -21,6 +21,10 @@ from siltworks.llm.url_filter import url_filter
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
 
 
+#: A later copy of a single line goes from so many words on (or ten times so many code points).
+LONG_LINE = 10
+
+
 def vocabulary() -> tuple[str, str]:
     """Path of the rank file, and the splitting pattern."""
     import public_tokenizers
@@ -29,7 +33,7 @@ def vocabulary() -> tuple[str, str]:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2)
+    done = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2, min_words=LONG_LINE)
     return done.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -98,7 +102,8 @@ ORACLE_SQL: dict[str, str] = {
         p AS (SELECT doc_id, unnest(range(len(lines))) AS pos, unnest(lines) AS line FROM l),
         w AS (SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM p),
         c AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line, following ORDER BY doc_id, pos) AS nth FROM w WHERE following IS NOT NULL),
-        gone AS (SELECT DISTINCT doc_id, unnest([pos, pos + 1]) AS pos FROM c WHERE nth > 1),
+        a AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth FROM p WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 10 OR length(trim(line)) >= 100),
+        gone AS (SELECT doc_id, unnest([pos, pos + 1]) AS pos FROM c WHERE nth > 1 UNION SELECT doc_id, pos FROM a WHERE nth > 1),
         m AS (SELECT p.doc_id, p.pos, p.line, g.pos IS NOT NULL AS removed, coalesce(lag(g.pos IS NOT NULL) OVER (PARTITION BY p.doc_id ORDER BY p.pos), false) AS before
               FROM p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos),
         r AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (removed) AS n_removed, count(*) FILTER (removed AND NOT before) AS n_runs,
