@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from siltworks.llm.common import once_per_worker, per_row
+from siltworks.llm.common import map_rows, once_per_worker
 
 #: Distinct matches remembered by a Python worker.
 REMEMBERED = 500_000
@@ -118,20 +118,16 @@ def codec_for(spark, vocabulary: str, pattern: str):
     return lambda: once_per_worker(key, lambda: Codec(sent.value, pattern))
 
 
-def _fields(df: DataFrame, carry: list[str]) -> list[str]:
-    return [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(carry).schema]
-
-
 def encode(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", into: str = "ids", carry: list[str] | None = None) -> DataFrame:
     """The carried columns (all by default) with an array of token ids."""
     carry = [c for c in (docs.columns if carry is None else carry) if c != into]
     get = codec_for(docs.sparkSession, vocabulary, pattern)
 
-    def run(batches):
+    def make():
         codec = get()
-        return per_row(lambda t: (np.frombuffer(codec.encode(t or ""), "<u4").tolist(),), [text], pa.schema([(into, pa.list_(pa.int32()))]), carry)(batches)
+        return lambda t: (np.frombuffer(codec.encode(t or ""), "<u4").tolist(),)
 
-    return docs.select(*carry, *([] if text in carry else [text])).mapInArrow(run, ", ".join([*_fields(docs, carry), f"`{into}` array<int>"]))
+    return map_rows(docs, carry, text, make, pa.schema([(into, pa.list_(pa.int32()))]), f"`{into}` array<int>")
 
 
 def decode(docs: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", into: str = "decoded", carry: list[str] | None = None) -> DataFrame:
@@ -139,11 +135,11 @@ def decode(docs: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", int
     carry = [c for c in (docs.columns if carry is None else carry) if c != into]
     get = codec_for(docs.sparkSession, vocabulary, pattern)
 
-    def run(batches):
+    def make():
         codec = get()
-        return per_row(lambda x: (codec.decode(np.array(x or [], "<u4").tobytes()),), [ids], pa.schema([(into, pa.binary())]), carry)(batches)
+        return lambda x: (codec.decode(np.array(x or [], "<u4").tobytes()),)
 
-    return docs.select(*carry, *([] if ids in carry else [ids])).mapInArrow(run, ", ".join([*_fields(docs, carry), f"`{into}` binary"]))
+    return map_rows(docs, carry, ids, make, pa.schema([(into, pa.binary())]), f"`{into}` binary")
 
 
 def digests(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -152,13 +148,13 @@ def digests(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text",
     get = codec_for(docs.sparkSession, vocabulary, pattern)
     schema = pa.schema([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
-    def run(batches):
+    def make():
         codec = get()
 
         def row(t):
             ids = codec.encode(t or "")
             return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
 
-        return per_row(row, [text], schema, carry)(batches)
+        return row
 
-    return docs.select(*carry, *([] if text in carry else [text])).mapInArrow(run, ", ".join([*_fields(docs, carry), "n_tokens bigint, ids_sha256 string, decoded_sha256 string"]))
+    return map_rows(docs, carry, text, make, schema, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -11,8 +11,9 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 INNERMOST: ContextVar[str | None] = ContextVar("INNERMOST", default=None)
 #: Keys of so large a share of all rows are heavy: at most so many, and only these are broadcast.
@@ -107,6 +108,22 @@ def once_per_worker(key, make: Callable):
     return _MADE[key]
 
 
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their names, whatever these hold."""
+    return [F.col(f"`{n}`") for n in names]
+
+
+def map_rows(docs: DataFrame, carry: list[str], column: str, make: Callable[[], Callable], outputs: pa.Schema, ddl: str) -> DataFrame:
+    """The carried columns as they are, and for each row what make()'s function gives for a column. outputs and ddl: the new columns, for Arrow and for Spark."""
+    rows = docs.select(F.struct(*quoted(carry), F.lit(0).alias("_none")).alias("_row"), F.col(f"`{column}`").alias("_value"))
+
+    def run(batches):
+        return per_row(make(), ["_value"], outputs, ["_row"])(batches)
+
+    found = rows.mapInArrow(run, StructType([rows.schema["_row"], *StructType.fromDDL(ddl).fields]))
+    return found.select(*(F.col(f"_row.`{c}`") for c in carry), *quoted(outputs.names))
+
+
 def packed(df: DataFrame, but: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
     """The rows in one column ``_row``, so that names of other columns can't clash with an operator's own; and the columns that are not replaced (``but``)."""
     stay = [c for c in df.columns if c not in but]

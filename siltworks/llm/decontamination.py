@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import once_per_worker, packed, per_row, scratch, stored
+from siltworks.llm.common import map_rows, once_per_worker, packed, per_row, quoted, scratch, stored
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -111,11 +111,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     """
     spark = docs.sparkSession
     carry = [c for c in (docs.columns if carry is None else carry) if c not in NEW.names]
-    source = docs.select(*carry, *([] if text in carry else [text]))
+    source = docs.select(*quoted(carry), *quoted([] if text in carry else [text]))
     size = benchmark.agg(F.sum(F.octet_length("text") + F.lit(32))).first()[0] or 0
     n_blocks = max(1, math.ceil(size / block_bytes))
     part = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carry).schema]
 
     def block(k: int):
         rows = [tuple(r) for r in benchmark.where(part == k).select(F.col("item_id").cast("string"), "text").collect()]
@@ -127,11 +126,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     if n_blocks == 1:
         name, items = block(0)
 
-        def judged(batches):
+        def make():
             match = machine(name, items)
-            return per_row(lambda t: digest((r := match(t))[0], len(r[1]), r[2]), [text], NEW, carry)(batches)
+            return lambda t: digest((r := match(t))[0], len(r[1]), r[2])
 
-        return source.mapInArrow(judged, ", ".join([*fields, DDL]))
+        return map_rows(docs, carry, text, make, NEW, DDL)
 
     rows, _ = packed(source)
     with scratch(spark) as kept:

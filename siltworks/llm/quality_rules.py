@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import per_row, stored
+from siltworks.llm.common import map_rows, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = b"#*$%&|<>"
@@ -129,9 +129,7 @@ def quality_rules(docs: DataFrame, text: str = "text", threshold: float = 0.5, c
     outputs = pa.schema([*BASE, *VOTES])
     new = [*outputs.names, "base_failed", "posterior", "kept"]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in new]
-    fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(carry).schema), *(f"{c} bigint" for c in BASE.names), "votes string"])
-    source = docs.select(*carry, *([] if text in carry else [text]))
-    judged = stored(source.mapInArrow(per_row(judge, [text], outputs, carry), fields))
+    judged = stored(map_rows(docs, carry, text, lambda: judge, outputs, ", ".join([*(f"{c} bigint" for c in BASE.names), "votes string"])))
     counts = [(r["votes"], r["n"]) for r in judged.groupBy("votes").agg(F.count("*").alias("n")).collect()]
     prior, ratio = fit(counts)
     odds = F.lit(prior)

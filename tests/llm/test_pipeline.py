@@ -1,6 +1,9 @@
+import os
+
 import corpus_pipeline
 import tiktoken
 from siltworks.llm.byte_bpe import read_ranks
+from siltworks.llm.common import shared_dir
 from siltworks.llm.queries import op7_decontamination, op10_quality_rules, vocabulary
 
 
@@ -43,3 +46,24 @@ def test_one_row_of_each_group_of_copies_stays(spark):
     assert out.dtypes == docs.dtypes
     assert sorted(((r["doc_id"], r["text"], r["lang"]) for r in out.collect()), key=str) == sorted([(5, text, "de"), (5, other, "en"), (None, third, "en"), (3, "of its own", "en"), (8, None, "en"), (6, "", "en")], key=str)
     assert dict(corpus_pipeline.STAGES)["n-gram join"](spark, docs.limit(0), "").count() == 0
+
+
+def test_run_over_nulls_repeats_extra_columns_and_an_empty_table(spark, sf, tmp_path):
+    source = spark.read.parquet(f"{sf}/documents.parquet")
+    extra = source.selectExpr("*", "1 AS kept", "2 AS n_removed", "3 AS _row", "4 AS first", "5 AS _own", "6 AS contaminated", "7 AS n_words", "8 AS _key")
+    nulls = extra.limit(3).selectExpr("CAST(NULL AS long) AS doc_id", "CAST(NULL AS string) AS text", *(f"`{c}`" for c in extra.columns[2:]))
+    for name, docs in (("odd", extra.unionByName(nulls).unionByName(extra.limit(5))), ("empty", extra.limit(0))):
+        docs.write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.read.parquet(f"{sf}/benchmark.parquet").write.parquet(str(tmp_path / name / "benchmark.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "odd" / "documents.parquet"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.dtypes == docs.dtypes and {tuple(r) for r in out.select("kept", "n_removed", "_row", "first", "_own", "contaminated", "n_words", "_key").distinct().collect()} <= {(1, 2, 3, 4, 5, 6, 7, 8)}
+    plain = {(r["doc_id"], r["n_tokens"]) for r in corpus_pipeline.run(spark, sf).collect()}
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder.removeprefix("file:")))
+    odd = corpus_pipeline.run(spark, str(tmp_path / "odd"))
+    # only the result itself stays
+    assert len(set(os.listdir(folder.removeprefix("file:"))) - before) == 1
+    assert {(r["doc_id"], r["n_tokens"]) for r in odd.collect()} == plain
+    assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
