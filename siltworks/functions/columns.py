@@ -117,6 +117,11 @@ def full_name_from_email(name: Column, email: Column) -> Column:
     return F.when((word_count(name) == 1) & (F.size(words) == 2), F.initcap(F.array_join(words, " "))).otherwise(name)
 
 
+def iso_epoch(c: Column) -> Column:
+    """Seconds since 1970 of an ISO timestamp, in UTC where it names no zone; NULL if it is none."""
+    return F.unix_timestamp(F.regexp_replace(c, r"Z$", "+00:00").try_cast("timestamp"))
+
+
 def metric_name(c: Column) -> Column:
     return F.regexp_replace(c, "[^a-zA-Z0-9_]", "_")
 

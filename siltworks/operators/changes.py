@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 
 def group_hashes(files: DataFrame, group: str = "group_key", path: str = "path", content: str = "content") -> DataFrame:
     """group, hash: MD5 over path, MD5 of the content and length of each file, in the order of the paths."""
-    parts = F.sort_array(F.collect_list(F.struct(F.col(path).alias("p"), F.md5(content).alias("m"), F.octet_length(content).cast("string").alias("n"))))
-    line = F.transform(parts, lambda x: F.concat(x["p"], F.lit(":"), x["m"], F.lit(":"), x["n"], F.lit(";")))
-    return files.groupBy(group).agg(F.md5(F.array_join(line, "")).alias("hash"))
+    return hashes_of_digests(files.select(F.col(group).alias("group_key"), F.col(path).alias("path"), F.md5(content).alias("md5"), F.octet_length(content).cast("string").alias("bytes"))).withColumnRenamed("group_key", group)
+
+
+def hashes_of_digests(files: DataFrame) -> DataFrame:
+    """The same from rows of group_key, path, md5 and bytes: some 100 bytes for each file of a group are brought together."""
+    parts = F.sort_array(F.collect_list(F.struct("path", "md5", "bytes")))
+    line = F.transform(parts, lambda x: F.concat(x["path"], F.lit(":"), x["md5"], F.lit(":"), x["bytes"], F.lit(";")))
+    return files.groupBy("group_key").agg(F.md5(F.array_join(line, "")).alias("hash"))
 
 
 def changes(current: DataFrame, previous: DataFrame, key: str = "group_key", value: str = "hash") -> DataFrame:

@@ -21,7 +21,11 @@ def numbered(df: DataFrame, keys: list[str] | None = None, order: list | None =
 
 
 def without_copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
-    return numbered(df, keys, order).where("_copy = 1").drop("_copy")
+    """The first row of each key. Firsts are found in each task before the shuffle, so a key with very many rows is no hot group."""
+    keys = [k for k in keys or [] if k in df.columns] or [c for c in df.columns if c not in META_COLUMNS and not c.startswith("_")]
+    row = F.struct(*map(quoted, df.columns))
+    first = df.groupBy(*(quoted(k).alias(f"_key{i}") for i, k in enumerate(keys))).agg(F.min_by(row, F.struct(*(order or map(quoted, keys)))).alias("_first"))
+    return first.select("_first.*")
 
 
 def copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:

@@ -49,6 +49,9 @@ AMOUNTS = ("amount", "montant", "transaction_amount")
 RATES = ("interest_rate", "taux_interet")
 BIRTHS = ("date_of_birth", "dob", "customerdob")
 
+#: Names of columns that hold what repaired() replaced.
+BEFORE = "_before_"
+
 RULES = [
     Rule("GEN-001", MAJOR, ("email",), lambda c, _: c.isNotNull() & ~fn.is_email(text(c))),
     Rule("GEN-002", MAJOR, ("phone", "telephone", "phone_contact", "telephone_agence"), lambda c, _: c.isNotNull() & fn.phone(text(c), slash=False).isNull()),
@@ -92,7 +95,9 @@ def conditions(df: DataFrame, table: str, active: set[str], as_of: Column, resol
             columns = list(dict.fromkeys(resolver.every(list(r.columns), r.id)))
         else:
             columns = [c for c in [resolver.first(list(r.columns), r.id)] if c]
-        found += [(r.id, r.severity, c, r.broken(quoted(c), as_of)) for c in columns]
+        # what repaired() replaced is judged as it was
+        before = lambda c: f"{BEFORE}{c}" if r.id == "GEN-006" and f"{BEFORE}{c}" in df.columns else c  # noqa: B023, E731
+        found += [(r.id, r.severity, c, r.broken(quoted(before(c)), as_of)) for c in columns]
     start, end = resolver.first(["start_date"]), resolver.first(["end_date"])
     if "BNK-008" in active and start and end:
         a, b = fn.iso_date(quoted(start)), fn.iso_date(quoted(end))
@@ -124,7 +129,7 @@ def validated(df: DataFrame, table: str, active: set[str] | None = None, as_of:
     rank = F.array_max(F.transform("_violations", lambda v: F.array_position(F.array(*map(F.lit, SEVERITIES)), v["severity"])))
     blocking = F.filter("_violations", lambda v: v["severity"] != WARNING)
     return (
-        df.withColumn("_violations", violations)
+        df.withColumn("_violations", violations).drop(*(c for c in df.columns if c.startswith(BEFORE)))
         .withColumns({"_violation_count": F.size("_violations"), "_max_severity": F.coalesce(F.get(F.array(*map(F.lit, SEVERITIES)), (rank - 1).cast("int")), F.lit("NONE"))})
         .withColumns({"_is_quarantined": F.col("_max_severity").isin(MAJOR, CRITICAL), "_quarantine_reason": F.nullif(F.array_join(F.transform(F.slice(blocking, 1, 3), lambda v: F.concat(F.lit("["), v["rule_id"], F.lit("] "), v["column"])), " | "), F.lit(""))})
     )
@@ -141,9 +146,10 @@ def split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def repaired(df: DataFrame) -> DataFrame:
-    """Genders by the dictionary, and names of one word by the e-mail address; applied before the rules."""
+    """Genders by the dictionary (what they were stays beside them, for the rules), and names of one word by the e-mail address; applied before the rules."""
     resolver = names.Resolver(df.columns)
-    new = {c: fn.repaired_gender(text(quoted(c))) for c in resolver.every(["gender"])}
+    genders = resolver.every(["gender"])
+    new = {c: fn.repaired_gender(text(quoted(c))) for c in genders} | {f"{BEFORE}{c}": quoted(c) for c in genders}
     if email := resolver.first(["email"]):
         new |= {c: fn.full_name_from_email(text(quoted(c)), text(quoted(email))) for c in df.columns if names.is_full_name(c)}
     return df.withColumns(new) if new else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import time
 from datetime import UTC, date, datetime
 
 from pyspark import StorageLevel
@@ -13,6 +15,8 @@ from siltworks.operators import cleaning, dedup, metrics, rules, schema
 from siltworks.plans.providers import NoRules, RuleProvider
 from siltworks.sources import exports, files, sinks
 
+#: Rows that reports show.
+REPORTED = 100
 #: Source types whose rows are never compared with each other.
 NEVER_DEDUPLICATED = {"api"}
 
@@ -35,32 +39,51 @@ def clean(df: DataFrame, source_type: str = "source_file", table: str = "", prov
     return counted.where("_copy = 1").drop("_copy"), bad.unionByName(again)
 
 
+def clean_group(spark: SparkSession, source: files.Source, paths: list[str], out: str, at: str, provider: RuleProvider | None) -> dict:
+    """One group's tables and report; _row_id stays, as the order of the files' rows."""
+    raw = files.with_row_id(files.read(spark, source, paths)).persist(StorageLevel.DISK_ONLY)
+    try:
+        kept, quarantine = clean(raw, source.type, source.table, provider)
+        path = f"{out}/tables/{source.key}/processed_{at}"
+        sinks.write_table(schema.with_source(kept, source.type, source.name, source.table, source.db, at), path)
+        sinks.write_quarantine(quarantine.drop("_row_id"), f"{out}/quarantine/{source.key}/quarantine_{at}")
+        reasons = {r["_reason"]: r["n"] for r in quarantine.groupBy("_reason").agg(F.count("*").alias("n")).collect()}
+        written = spark.read.parquet(path)
+        facts = {"rows_input": raw.count(), "rows_output": written.count(), "rows_quarantined": sum(reasons.values()), "reasons": reasons, "path": path}
+    finally:
+        raw.unpersist()
+    sinks.save_state(spark, f"{out}/reports/{source.key}/report_{at}.json", facts | {"table": source.table, "columns": written.columns, "sample": sinks.sample_rows(written, REPORTED, "_row_id")})
+    return facts
+
+
 def run_clean(spark: SparkSession, root: str, out: str, provider: RuleProvider | None = None, only: set[str] | None = None, force: bool = False) -> list[dict]:
-    """Cleans each changed group below root. State is kept for what succeeded only."""
+    """Cleans each changed group below root. A group that fails is reported and tried again in the next run; state is saved after each group that succeeds."""
     groups = files.discover(files.list_files(spark, root))
     state = sinks.load_state(spark, f"{out}/state.json")
-    known = state.get("hashes", {})
+    known, outputs, done = state.get("hashes", {}), state.get("outputs", {}), []
     hashes = {r["group_key"]: r["hash"] for r in files.manifest(spark, root, groups).collect()}
     at = datetime.now(UTC).strftime("%Y%m%d_%H%M%S")
-    done, outputs = [], state.get("outputs", {})
     for source, paths in groups.items():
-        if only and source.key not in only or not force and known.get(source.key) == hashes[source.key]:
+        if only and source.key not in only and source.table not in only or not force and known.get(source.key) == hashes[source.key]:
             continue
-        raw = files.with_row_id(files.read(spark, source, [f"{root}/{p}" for p in paths])).persist(StorageLevel.DISK_ONLY)
-        kept, quarantine = clean(raw, source.type, source.table, provider)
-        path = f"{out}/tables/{source.key}/processed_{at}"
-        sinks.write_table(schema.with_source(kept.drop("_row_id"), source.type, source.name, source.table, source.db, at), path)
-        sinks.write_quarantine(quarantine.drop("_row_id"), f"{out}/quarantine/{source.key}/quarantine_{at}")
-        reasons = {r["_reason"]: r["n"] for r in quarantine.groupBy("_reason").agg(F.count("*").alias("n")).collect()}
-        facts = {"event": "clean", "timestamp": at, "group_key": source.key, "table_name": source.table, "source_type": source.type, "rows_input": raw.count(), "rows_output": spark.read.parquet(path).count(), "rows_quarantined": sum(reasons.values()), "success": True}
-        raw.unpersist()
-        done.append(facts | {"reasons": reasons, "path": path})
-        known[source.key] = hashes[source.key]
-        outputs[source.key] = {"path": path, "type": source.type, "table": source.table, "db": source.db}
+        facts = {"event": "clean", "timestamp": at, "group_key": source.key, "table_name": source.table, "source_type": source.type}
+        began = time.monotonic()
+        try:
+            facts |= clean_group(spark, source, [f"{root}/{p}" for p in paths], out, at, provider) | {"success": True}
+            known[source.key] = hashes[source.key]
+            outputs[source.key] = {"path": facts["path"], "type": source.type, "table": source.table, "db": source.db}
+            sinks.save_state(spark, f"{out}/state.json", {"hashes": known, "outputs": outputs, "last_run": at})
+        except Exception as e:  # whatever a group's files do, the other groups go on
+            facts |= {"rows_input": 0, "rows_output": 0, "rows_quarantined": 0, "reasons": {}, "success": False, "error": f"{type(e).__name__}: {str(e)[:500]}"}
+        facts["duration_seconds"] = round(time.monotonic() - began, 3)
+        sinks.append_line(spark, f"{out}/logs", f"{at}_{source.key.replace('/', '_')}", "METRICS: " + json.dumps({k: v for k, v in facts.items() if k not in ("reasons", "path")}, ensure_ascii=False))
+        done.append(facts)
     gone = {*known} - {s.key for s in groups}
     sinks.save_state(spark, f"{out}/state.json", {"hashes": {k: v for k, v in known.items() if k not in gone}, "outputs": outputs, "last_run": at})
     if done:
-        frame = spark.createDataFrame([{k: d[k] for k in ("table_name", "source_type", "rows_input", "rows_output", "rows_quarantined")} for d in done])
+        done_rows = [d for d in done if d["success"]]
+    if done and done_rows:
+        frame = spark.createDataFrame([{k: d[k] for k in ("table_name", "source_type", "rows_input", "rows_output", "rows_quarantined")} for d in done_rows])
         long = frame.unpivot(["table_name", "source_type"], ["rows_input", "rows_output", "rows_quarantined"], "name", "value").withColumn("name", F.concat(F.lit("clean_"), "name", F.lit("_total")))
         sinks.write_lines(exports.prometheus_lines(long, "name", "value", ["table_name", "source_type"]), f"{out}/metrics/{at}")
     return done
@@ -71,30 +94,51 @@ def validate(df: DataFrame, table: str, provider: RuleProvider | None = None, as
     return rules.validated(rules.repaired(rules.ground_truth(df)), table, active, as_of, mapping, order)
 
 
-def run_validate(spark: SparkSession, clean_out: str, out: str, provider: RuleProvider | None = None, as_of: date | None = None, only: set[str] | None = None, force: bool = False) -> list[dict]:
-    """Validates each table whose latest clean run isn't the one done."""
-    tables = sinks.load_state(spark, f"{clean_out}/state.json").get("outputs", {})
-    state = sinks.load_state(spark, f"{out}/state.json")
-    at, results = datetime.now(UTC).strftime("%Y%m%d_%H%M%S"), []
-    for key, known in tables.items():
-        if only and known["table"] not in only or not force and state.get(key) == known["path"]:
-            continue
-        checked = validate(spark.read.parquet(known["path"]), known["table"], provider, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+def validate_table(spark: SparkSession, key: str, known: dict, out: str, at: str, provider: RuleProvider | None, as_of: date | None) -> dict:
+    """One table's valid and quarantined rows, and its report: counts, rules, grade, alerts, samples of both sides."""
+    df = spark.read.parquet(known["path"])
+    order = [F.col("_row_id")] if "_row_id" in df.columns else None
+    checked = validate(df, known["table"], provider, as_of, order).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
         good, bad = rules.split(checked)
         sinks.write_table(good, f"{out}/validated/{key}/processed_{at}")
         sinks.write_table(bad, f"{out}/quarantine/{key}/processed_{at}")
         facts = metrics.row_counts(checked).first().asDict() | metrics.by_severity(checked).first().asDict()
         facts |= {"completeness": metrics.average_completeness(checked).first()["average"], "rules": {r["rule_id"]: r["n"] for r in metrics.by_rule(checked).collect()}}
+        facts |= {"domains": {r["domain"]: r["n"] for r in metrics.by_domain(checked).collect()}}
         if "_ground_truth" in checked.columns:
             facts |= metrics.precision_recall(metrics.confusion(checked, F.col("_ground_truth"), F.col("_is_quarantined"))).first().asDict()
+        rates = spark.createDataFrame([(float(facts["quarantine_rate"] or 0), float(facts["completeness"] or 0), facts.get("recall"))], "quarantine_rate double, completeness double, recall double")
+        facts["alerts"] = metrics.alerts(rates).first()["alerts"]
+        by = [] if order is None else ["_row_id"]
+        shown = {"sample": sinks.sample_rows(good, REPORTED, *by), "quarantine_sample": sinks.sample_rows(bad, REPORTED, *by)}
+    finally:
         checked.unpersist()
-        results.append({"key": key, "table": known["table"], **facts})
+    sinks.save_state(spark, f"{out}/reports/tables/{key.replace('/', '_')}_{at}/report.json", {"key": key, "table": known["table"]} | facts, indent=None)
+    sinks.save_state(spark, f"{out}/samples/{key}/samples_{at}.json", shown)
+    return facts
+
+
+def run_validate(spark: SparkSession, clean_out: str, out: str, provider: RuleProvider | None = None, as_of: date | None = None, only: set[str] | None = None, force: bool = False) -> list[dict]:
+    """Validates each table whose latest clean run isn't the one done."""
+    tables = sinks.load_state(spark, f"{clean_out}/state.json").get("outputs", {})
+    state = sinks.load_state(spark, f"{out}/state.json")
+    at, results = datetime.now(UTC).strftime("%Y%m%d_%H%M%S"), []
+    failed: list[dict] = []
+    for key, known in tables.items():
+        if only and key not in only and known["table"] not in only or not force and state.get(key) == known["path"]:
+            continue
+        try:
+            results.append({"key": key, "table": known["table"]} | validate_table(spark, key, known, out, at, provider, as_of))
+        except Exception as e:  # the other tables go on, this one is tried again
+            failed.append({"key": key, "table": known["table"], "success": False, "error": f"{type(e).__name__}: {str(e)[:500]}"})
+            continue
         state[key] = known["path"]
+        sinks.save_state(spark, f"{out}/state.json", state)
     if results:
         measures = ("total", "valid", "quarantined", "validity_rate", "quarantine_rate", "completeness", "critical", "major", "warning")
         frame = spark.createDataFrame([(r["table"], f"validated_{m}", float(r[m] or 0)) for r in results for m in measures], "table string, name string, value double")
         sinks.write_lines(exports.prometheus_lines(frame, "name", "value", ["table"]), f"{out}/metrics/{at}")
         totals = spark.createDataFrame([(int(r["total"]), int(r["valid"]), int(r["quarantined"]), r.get("precision"), r.get("recall"), r.get("f1")) for r in results], "total long, valid long, quarantined long, precision double, recall double, f1 double")
         sinks.write_json(metrics.global_report(totals), f"{out}/reports/global_{at}")
-    sinks.save_state(spark, f"{out}/state.json", state)
-    return results
+    return results + failed

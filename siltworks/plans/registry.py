@@ -392,7 +392,7 @@ def global_report(spark, sf_dir):
         UNION ALL SELECT 'p_size', true, min(p_size)::DOUBLE, max(p_size)::DOUBLE, round(avg(p_size), 4), count(DISTINCT p_size), count(*), max(length(p_size::VARCHAR)) FROM part
         UNION ALL SELECT 'p_type', false, NULL, NULL, NULL, count(DISTINCT p_type), count(*), max(length(p_type)) FROM part)""")
 def profile_columns(spark, sf_dir):
-    return profile.column_profiles(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_type"))
+    return profile.column_profiles(table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_type"), distinct_exact=True)
 
 
 @query("categorical_detect", "SELECT event_type AS value, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, value LIMIT 10")
@@ -429,6 +429,18 @@ def latest_run(spark, sf_dir):
     return changes.latest_runs(runs, ["custkey"])
 
 
+@query("iso_epoch", "SELECT o_orderkey, epoch(o_orderdate::DATE + INTERVAL 45296 SECOND)::BIGINT AS seconds FROM orders")
+def iso_epoch(spark, sf_dir):
+    said = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T12:34:56Z"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", fn.iso_epoch(said).alias("seconds"))
+
+
+@query("most_frequent_values", """SELECT column_name, value, n FROM (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS nth FROM (
+    SELECT column_name, value, count(*) AS n FROM (SELECT unnest(['o_orderstatus', 'o_orderpriority']) AS column_name, unnest([o_orderstatus::VARCHAR, o_orderpriority::VARCHAR]) AS value FROM orders) GROUP BY 1, 2)) WHERE nth <= 3""")
+def most_frequent_values(spark, sf_dir):
+    return profile.values(table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority"), 3)
+
+
 @query("group_hash", "SELECT lang AS group_key, md5(string_agg(doc_id::VARCHAR || ':' || md5(text) || ':' || octet_length(encode(text))::VARCHAR || ';', '' ORDER BY doc_id::VARCHAR)) AS hash FROM documents GROUP BY 1")
 def group_hash(spark, sf_dir):
     files = table(spark, sf_dir, "documents").select(F.col("lang").alias("group_key"), F.col("doc_id").cast("string").alias("path"), F.encode("text", "utf-8").alias("content"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.functions.columns import labels, metric_name
@@ -46,3 +46,15 @@ def newest_files(df: DataFrame, key: str) -> DataFrame:
     """Of rows read with file metadata, those of each key's newest file."""
     newest = df.groupBy(key).agg(F.max_by("_metadata.file_path", "_metadata.file_modification_time").alias("_newest"))
     return df.withColumn("_path", F.col("_metadata.file_path")).join(F.broadcast(newest), key).where("_path = _newest").drop("_path", "_newest")
+
+
+def gauges(spark: SparkSession, clean_out: str, validated_out: str) -> DataFrame:
+    """line: gauges of the last clean run (from its event lines) and of the newest table reports, as Prometheus text."""
+    events = metric_events(spark.read.text(f"{clean_out}/logs"))
+    last = events.join(events.agg(F.max("timestamp").alias("timestamp")), "timestamp")
+    totals = run_totals(last).unpivot([], ["tables", "rows_in", "rows_out", "rows_quarantined", "ok", "quarantine_rate"], "name", "value")
+    said = totals.select(F.concat(F.lit("clean_last_"), "name").alias("name"), F.lit("all").alias("table"), F.col("value").cast("double"))
+    reports = spark.read.schema("table string, key string, total double, valid double, quarantined double, validity_rate double, completeness double, precision double, recall double, f1 double").json(f"{validated_out}/reports/tables/*")
+    measures = ["total", "valid", "quarantined", "validity_rate", "completeness", "precision", "recall", "f1"]
+    newest = newest_files(reports.select("*", "_metadata"), "key").unpivot(["table"], measures, "name", "value").where("value is not null")
+    return prometheus_lines(said.unionByName(newest.select(F.concat(F.lit("validated_last_"), "name").alias("name"), "table", "value")), "name", "value", ["table"])

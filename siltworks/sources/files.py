@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from siltworks.operators.changes import group_hashes
+from siltworks.operators.changes import hashes_of_digests
 from siltworks.operators.schema import quoted, union_by_name
 
 
@@ -53,7 +54,7 @@ def list_files(spark: SparkSession, root: str) -> list[str]:
     jvm = spark._jvm
     base = jvm.org.apache.hadoop.fs.Path(root)
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
-    top = fs.makeQualified(base).toString().rstrip("/") + "/"
+    top = qualified(spark, root)
     found, files = [], fs.listFiles(base, True)
     while files.hasNext():
         found.append(files.next().getPath().toString()[len(top) :])
@@ -68,22 +69,45 @@ def discover(paths: list[str]) -> dict[Source, list[str]]:
     return groups
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root as the file system names it, with a slash at the end."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/") + "/"
+
+
 def manifest(spark: SparkSession, root: str, groups: dict[Source, list[str]]) -> DataFrame:
-    """group_key, hash of each group's content; the executors read and hash the files."""
+    """group_key, hash of each group's content; the executors read and hash the files, of 2 GB at most each. An empty file counts as empty content."""
     rows = [(s.key, p) for s, ps in groups.items() for p in ps]
     if not rows:
         return spark.createDataFrame([], "group_key string, hash string")
     names = spark.createDataFrame(rows, "group_key string, path string")
     content = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{root}/{p}" for _, p in rows])
-    relative = F.expr("substring(path, instr(path, '/' || rel) + 1)")
-    joined = content.select("path", "content").join(F.broadcast(names.withColumnRenamed("path", "rel")), F.endswith("path", F.concat(F.lit("/"), "rel")))
-    return group_hashes(joined.withColumn("path", relative))
-
-
-def read_csv(spark: SparkSession, paths: list[str], encoding: str = "UTF-8") -> DataFrame:
-    """Every column as text, so that dirt does not decide types; a byte order mark at the first name is dropped."""
-    df = spark.read.options(header=True, inferSchema=False, multiLine=True, escape='"', encoding=encoding).csv(paths)
-    return df.toDF(*(c.lstrip("\ufeff") for c in df.columns))
+    hashed = content.select(F.substring("path", len(qualified(spark, root)) + 1, 1 << 20).alias("path"), F.md5("content").alias("md5"), F.col("length").cast("string").alias("bytes"))
+    found = names.join(hashed, "path", "left").fillna({"md5": hashlib.md5(b"").hexdigest(), "bytes": "0"})
+    return hashes_of_digests(found)
+
+
+def csv_traits(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """(encoding, whether values run over lines), from one pass over the lines: UTF-8 if all of them are, else Latin-1; a line with an odd number of quotes leaves a value open."""
+    lines = spark.read.text(path)
+    other, odd = lines.agg(F.count_if(~F.is_valid_utf8("value")), F.count_if(F.regexp_count("value", F.lit('"')) % 2 == 1)).first()
+    return ("ISO-8859-1" if other else "UTF-8"), bool(odd)
+
+
+def read_csv(spark: SparkSession, paths: list[str], encoding: str | None = None, multi_line: bool | None = None) -> DataFrame:
+    """Every column as text, so that dirt does not decide types; a byte order mark at the first name is dropped.
+
+    encoding, multi_line: of all files; by default each file's own. Only a file with values over several lines is read by one task.
+    """
+    alike: dict[tuple[str, bool], list[str]] = {}
+    for p in paths:
+        own = csv_traits(spark, p) if encoding is None or multi_line is None else ("", False)
+        alike.setdefault((encoding or own[0], own[1] if multi_line is None else multi_line), []).append(p)
+    frames = []
+    for (said, whole), some in alike.items():
+        df = spark.read.options(header=True, inferSchema=False, multiLine=whole, escape='"', encoding=said).csv(some)
+        frames.append(df.toDF(*(c.lstrip("\ufeff") for c in df.columns)))
+    return union_by_name(frames)
 
 
 def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -48,16 +48,25 @@ def load_state(spark: SparkSession, path: str) -> dict:
     return state
 
 
-def save_state(spark: SparkSession, path: str, state: dict) -> None:
+def append_line(spark: SparkSession, folder: str, name: str, line: str) -> None:
+    """One line of a log as a file of its own in a folder, which Spark reads as one table of lines."""
+    target, fs = _path(spark, f"{folder}/{name}.log")
+    out = fs.create(target, True)
+    out.write(bytearray((line + "\n").encode()))
+    out.close()
+
+
+def save_state(spark: SparkSession, path: str, state: dict, indent: int | None = 2) -> None:
     """Written beside and renamed, so that a reader never sees half of it."""
     target, fs = _path(spark, path)
     beside, _ = _path(spark, path + ".new")
     out = fs.create(beside, True)
-    out.write(bytearray(json.dumps(state, indent=2, sort_keys=True, ensure_ascii=False).encode()))
+    out.write(bytearray(json.dumps(state, indent=indent, sort_keys=True, ensure_ascii=False, default=str).encode()))
     out.close()
     fs.delete(target, True)
     fs.rename(beside, target)
 
 
 def sample_rows(df: DataFrame, n: int, *order: str) -> list[dict]:
-    return [json.loads(r[0]) for r in df.orderBy(*order).limit(n).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]
+    """The first n rows in an order, or any n."""
+    return [json.loads(r[0]) for r in (df.orderBy(*order) if order else df).limit(n).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).collect()]

@@ -6,7 +6,7 @@ from siltworks.operators import schema
 from siltworks.plans.cli import main
 from siltworks.plans.pipeline import clean, run_clean, run_validate
 from siltworks.plans.providers import DocumentRules, HeuristicRules, repaired_json
-from siltworks.sources import files, sinks
+from siltworks.sources import exports, files, sinks
 from siltworks.streaming import incremental
 
 CSV = "CustomerID,CustGender,phone,email,balance\nC1,Homme,+216 20 123 456,a@b.tn,10\nC1,Homme,20123456,a@b.tn,10\nC2,n/a,ABC,é@b.tn,\"-1\"\n,,,,\n"
@@ -99,3 +99,32 @@ def test_streams(spark, tmp_path):
     q = incremental.windowed_violations(checked, "at").writeStream.format("memory").outputMode("complete").queryName("wins").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r["n"] for r in spark.table("wins").collect()] == [1]
+
+
+def test_runs_go_on_past_broken_files(spark, tmp_path):
+    root, out, gold = tmp_path / "raw", str(tmp_path / "clean"), str(tmp_path / "gold")
+    tree(root)
+    (root / "source_file/zempty.csv").write_text("")
+    (root / "source_file/latin.csv").write_bytes("id,name,gender\n1,René,xx\n2,Ana,f\n".encode("latin-1"))
+    (root / "source_file/lines.csv").write_text('id,note\n1,"two\nlines"\n2,x\n')
+    (root / "source_file/other/broken.xml").write_text("<")
+    # one relative path is the end of another
+    (root / "db/public/t").mkdir(parents=True)
+    (root / "public/public/t").mkdir(parents=True)
+    (root / "db/public/t/1.json").write_text(json.dumps({"r": [{"id": 1}]}))
+    (root / "public/public/t/1.json").write_text(json.dumps({"r": [{"id": 2}]}))
+    groups = files.discover(files.list_files(spark, str(root)))
+    hashed = files.manifest(spark, str(root), groups)
+    assert {r["group_key"] for r in hashed.collect()} == {s.key for s in groups}
+    assert "NestedLoop" not in hashed._jdf.queryExecution().toString()
+    done = {d["group_key"]: d for d in run_clean(spark, str(root), out)}
+    assert {k for k, d in done.items() if not d["success"]} == {"source_file/zempty", "source_file/broken"}
+    assert {r["name"] for r in spark.read.parquet(done["source_file/latin"]["path"]).collect()} == {"rené", "ana"} or {r["name"] for r in spark.read.parquet(done["source_file/latin"]["path"]).collect()} == {"René", "Ana"}
+    assert done["source_file/lines"]["rows_output"] == 2 and done["db_wrapped/db/t"]["rows_output"] == done["db_wrapped/public/t"]["rows_output"] == 1
+    assert {d["group_key"] for d in run_clean(spark, str(root), out)} == {"source_file/zempty", "source_file/broken"}
+    results = {r["table"]: r for r in run_validate(spark, out, gold, HeuristicRules())}
+    # an unknown gender is repaired to NULL, and still warned of
+    assert results["latin"]["rules"].get("GEN-006") == 1 and results["latin"]["alerts"] == []
+    lines = [r["line"] for r in exports.gauges(spark, out, gold).collect()]
+    assert 'validated_last_total{table="latin"} 2.0' in lines and any(x.startswith('clean_last_tables{table="all"} 2') for x in lines)
+    assert main(["export", out, gold]) == lines
