@@ -80,15 +80,15 @@ def collect_garbage(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def heavy_join(rows: DataFrame, small: DataFrame, on: list[str], n: str, total: int | None = None) -> DataFrame:
+def heavy_join(rows: DataFrame, small: DataFrame, on: list[str], n: str, total: int | None = None, most: int = MAX_HEAVY) -> DataFrame:
     """Inner join of rows with a frame of one row for each key, whose column ``n`` is the number of rows of the key.
 
-    Keys of at least 1 / MAX_HEAVY of all rows, MAX_HEAVY of them at most, are broadcast, so their rows stay where they are; the
+    Keys of at least 1 / most of all rows, so many of them at most, are broadcast, so their rows stay where they are; the
     rest is shuffled, and no key of it is larger than that. small is computed more than once, so it should be stored. total: the sum of n.
     """
     if total is None:
         total = small.agg(F.sum(n)).first()[0] or 0
-    least = math.ceil(total / MAX_HEAVY)
+    least = math.ceil(total / most)
     heavy, light = F.broadcast(small.where(F.col(n) >= least)), small.where(F.col(n) < least)
     found = rows.join(heavy, on)
     if least <= 1:

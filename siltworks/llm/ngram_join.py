@@ -38,7 +38,7 @@ from siltworks.llm.line_dedup import ranked
 CHUNK = 2_000_000
 #: A shingle with so many occurrences is frequent. Which ones are has no influence on the result, only on the work.
 FREQUENT = 8
-#: Most frequent shingles that are kept as such, and broadcast: 8 bytes each.
+#: Most frequent shingles that are kept as such, and broadcast: 8 bytes each; as many heads of columns are broadcast, 24 bytes each.
 MAX_FREQUENT = 1 << 20
 #: A block of the product has so many rows and shingles at most (or one longer row), and so many columns at a time are multiplied.
 BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_COLUMNS = 256, 1 << 17, 4096
@@ -235,8 +235,8 @@ def labelled_rows(source: DataFrame, size: int, percent: int) -> DataFrame:
 
     listed = classes.where(F.size("hot") > 0).select("c", "n", F.size("first").alias("cold"), F.explode("hot").alias("s")).select("c", "n", "s", (F.col("cold") < reach(percent)).alias("small"))
     often = listed.unionByName(thin)
-    heads = stored(often.groupBy("s").agg(F.min_by(F.struct("c", "n"), "c").alias("head"), F.count("*").alias("rows")).select("s", F.col("head.c").alias("a"), F.col("head.n").alias("n_a"), "rows"))
-    stars = heavy_join(often, heads, ["s"], "rows").where((F.col("c") != F.col("a")) & sizes_fit("n", "n_a", percent)).groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("sum"))
+    heads = stored(often.groupBy("s").agg(F.min_by(F.struct("c", "n"), "c").alias("head"), F.count("*").alias("rows")).select("s", F.col("head.c").alias("a"), F.col("head.n").alias("n_a"), "rows").where("rows > 1"))
+    stars = heavy_join(often, heads, ["s"], "rows", most=MAX_FREQUENT).where((F.col("c") != F.col("a")) & sizes_fit("n", "n_a", percent)).groupBy("a", F.col("c").alias("b")).agg(F.count("*").alias("sum"))
     stars = stored(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sum").groupBy("a", "b").agg(F.max("sum").alias("sum")))
 
     nodes = candidates.select(F.explode(F.array("a", "b")).alias("c")).unionByName(often.select("c")).distinct()
@@ -288,7 +288,7 @@ def block_links(often: DataFrame, sets: DataFrame, labels: DataFrame, percent: i
     """
     labelled = often.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("component", F.coalesce("component", "c"))
     several = labelled.groupBy("s").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("rows")).where("lo < hi").select("s", "rows")
-    open_ = stored(heavy_join(labelled, stored(several), ["s"], "rows").select("s", "c", "n", "component", "small"))
+    open_ = stored(heavy_join(labelled, stored(several), ["s"], "rows", most=MAX_FREQUENT).select("s", "c", "n", "component", "small"))
     by = ["alike", "component", "c"]
     ordered = ranked(open_.groupBy("c", "component").agg(F.min("s").alias("alike"), F.greatest(F.max("n"), F.lit(BLOCK_SHINGLES // BLOCK_ROWS)).alias("n")), by)
     placed = stored(ordered.select("c", "component", F.floor(F.col("rank") / BLOCK_SHINGLES).alias("block")))
