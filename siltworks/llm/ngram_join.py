@@ -7,7 +7,7 @@ accumulated by Spark, and a pair is discarded if its sizes are too far apart or
 overlap that its sizes ask for. What is left is counted exactly on the whole sets.
 
 Frequent columns (large groups of near copies, passages that many documents share) are not multiplied out. Most are known before,
-from repeats within chunks of shingles; a column that turns out to have FREQUENT rows is treated alike, so no column with more is
+from repeats within chunks of shingles; a column that turns out to have THIN rows is treated alike, so no column with more is
 multiplied out. The rows of a column that no chunk repeats are as many as there are chunks at most, which bounds what one task gets. Their members
 are compared with the column's first member; then, of columns that still hold several components, the members are cut into
 blocks of rows, and blocks that share such a column are multiplied as matrices in a task, which gives out only which components
@@ -38,6 +38,8 @@ from siltworks.llm.line_dedup import ranked
 CHUNK = 2_000_000
 #: A shingle with so many occurrences is frequent. Which ones are has no influence on the result, only on the work.
 FREQUENT = 8
+#: A column that turns out to have so many rows is not multiplied out either, though no chunk told that it is frequent.
+THIN = 64
 #: Most frequent shingles that are kept as such, and broadcast: 8 bytes each; as many heads of columns are broadcast, 24 bytes each.
 MAX_FREQUENT = 1 << 20
 #: A block of the product has so many rows and shingles at most (or one longer row), and so many columns at a time are multiplied.
@@ -123,11 +125,11 @@ def prefixes(frequent, size: int, percent: int) -> Callable:
 
 
 def column_pairs(percent: int) -> Callable:
-    """A mapInArrow function over rows (s, c, n, i) sorted by s: the pairs (a, b) of each column with fewer than FREQUENT rows whose
+    """A mapInArrow function over rows (s, c, n, i) sorted by s: the pairs (a, b) of each column with fewer than THIN rows whose
     sizes fit, a < b; of a column with more its rows (s, c, n, i), so that no column is multiplied out whose size isn't bounded."""
 
     def pairs(s, c, n):
-        for d in range(1, FREQUENT):
+        for d in range(1, THIN):
             # the d-th neighbour within the same column
             left = np.flatnonzero(s[:-d] == s[d:])
             if not len(left):
@@ -151,7 +153,7 @@ def column_pairs(percent: int) -> Callable:
             s = now[0]
             starts = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
             lengths = np.diff(np.append(starts, len(s)))
-            many = np.repeat((lengths >= FREQUENT) | (s[starts] == hot if hot is not None else False), lengths)
+            many = np.repeat((lengths >= THIN) | (s[starts] == hot if hot is not None else False), lengths)
             # the last column may go on in the next batch; of one that is frequent already nothing has to be kept
             cut = len(s) if b is None or many[-1] else int(starts[-1])
             hot = int(s[-1]) if many[-1] else None
