@@ -9,13 +9,16 @@ from siltworks.llm.byte_bpe import digests
 from siltworks.llm.common import table
 from siltworks.llm.decontamination import decontaminate
 from siltworks.llm.html_text import main_text
+from siltworks.llm.kd_clusters import kd_clusters
 from siltworks.llm.line_dedup import line_dedup
 from siltworks.llm.ngram_join import jaccard_components
+from siltworks.llm.packing import pack
 from siltworks.llm.personal_data import find_personal_data
 from siltworks.llm.quality_rules import quality_rules
 from siltworks.llm.sharding import external_shuffle
 from siltworks.llm.substring_dedup import substring_dedup
 from siltworks.llm.url_filter import url_filter
+from siltworks.llm.whitening import whiten
 
 #: (verdict, host, path)
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -81,6 +84,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "votes", "posterior")
 
 
+def op11_kd_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_clusters(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), k=16, rounds=3, scale=64, dims=64, seed=1, carry=["vec_id"])
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=8, scale=1024, shift=100_000, carry=["vec_id"])
+    # a deviation beyond 64 bits, as of hundreds of billions of rows, is null here
+    return done.withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    pieces = pack(table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN, size=1024, end=0, carry=["doc_id"])
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_personal_data": op2_personal_data,
@@ -92,10 +113,21 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_html_text": op9_html_text,
     "op10_quality_rules": op10_quality_rules,
+    "op11_kd_clusters": op11_kd_clusters,
+    "op12_whitening": op12_whitening,
+    "op13_packing": op13_packing,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+#: Vectors with their nearest centroids of a round, and the centroids of the round after: exact floors of means, or as before.
+NEAREST = """SELECT vec_id, x, d // 16 AS distance, d % 16 AS cluster FROM (SELECT vec_id, any_value(x) AS x, min(16 * list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT + cluster) AS d
+                FROM (SELECT v.*, row_number() OVER () AS row FROM v), c{} GROUP BY row, vec_id)"""
+MEANS = """s{1} AS (SELECT cluster, i, sum(x[i])::HUGEINT AS s, count(*) AS n FROM a{0}, unnest(range(1, 65)) AS t(i) GROUP BY cluster, i),
+        m{1} AS (SELECT cluster, list((s - (s % n + n) % n) // n ORDER BY i)::BIGINT[] AS c FROM s{1} GROUP BY cluster),
+        c{1} AS (SELECT c{0}.cluster, coalesce(m{1}.c, c{0}.c) AS c FROM c{0} LEFT JOIN m{1} ON c{0}.cluster = m{1}.cluster),"""
+CLUSTER_ROUNDS = " ".join(f"a{r} AS ({NEAREST.format(r)}), {MEANS.format(r, r + 1)}" for r in range(3))
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": """
         WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
@@ -143,4 +175,13 @@ ORACLE_SQL: dict[str, str] = {
         SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
         FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN own ON dw.doc_id = own.doc_id""",
+    "op11_kd_clusters": f"""
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+                   WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda e: e IS NOT NULL AND isfinite(e)))),
+        c0 AS (SELECT row_number() OVER (ORDER BY h, x) - 1 AS cluster, x AS c FROM (SELECT sha256('1:' || vec_id) AS h, x FROM v ORDER BY h, x LIMIT 16)),
+        {CLUSTER_ROUNDS}
+        a AS ({NEAREST.format(3)}),
+        t AS (SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM a GROUP BY cluster)
+        SELECT a.vec_id, a.cluster::INTEGER AS cluster, a.distance, t.cluster_inertia, (SELECT sum(distance) FROM a)::BIGINT AS inertia, sha256(array_to_string(c3.c, ',')) AS centroid_sha256
+        FROM a JOIN t ON a.cluster = t.cluster JOIN c3 ON a.cluster = c3.cluster""",
 }
