@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 
 def group_hashes(files: DataFrame, group: str = "group_key", path: str = "path", content: str = "content") -> DataFrame:
-    """group, hash: MD5 over path, MD5 of the content and length of each file, in the order of the paths."""
-    return hashes_of_digests(files.select(F.col(group).alias("group_key"), F.col(path).alias("path"), F.md5(content).alias("md5"), F.octet_length(content).cast("string").alias("bytes"))).withColumnRenamed("group_key", group)
+    """group, hash: over path, MD5 of the content and length of each file, as hashes_of_digests() joins them."""
+    return hashes_of_digests(files.select(F.col(group).alias("group_key"), F.col(path).cast("string").alias("path"), F.md5(content).alias("digest"), F.octet_length(content).cast("string").alias("bytes"))).withColumnRenamed("group_key", group)
 
 
 def hashes_of_digests(files: DataFrame) -> DataFrame:
-    """The same from rows of group_key, path, md5 and bytes: some 100 bytes for each file of a group are brought together."""
-    parts = F.sort_array(F.collect_list(F.struct("path", "md5", "bytes")))
-    line = F.transform(parts, lambda x: F.concat(x["path"], F.lit(":"), x["md5"], F.lit(":"), x["bytes"], F.lit(";")))
-    return files.groupBy("group_key").agg(F.md5(F.array_join(line, "")).alias("hash"))
+    """The same from rows of group_key, path, digest and bytes, as a tree: files fall into 4,096 parts of their group by the MD5 of their path, each part's
+    lines are hashed in the order of the paths, and then the parts' hashes in the order of the parts. So no task brings a group's files together.
+    """
+    line = F.concat("path", F.lit(":"), "digest", F.lit(":"), "bytes", F.lit(";"))
+    in_order = lambda key, value: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v")))), lambda x: x["v"]), "")
+    rows = files.select("group_key", F.substring(F.md5("path"), 1, 3).alias("part"), F.col("path").alias("_key"), line.alias("_line"))
+    parts = rows.groupBy("group_key", "part").agg(F.md5(in_order("_key", "_line")).alias("_hash"))
+    return parts.groupBy("group_key").agg(F.md5(in_order("part", "_hash")).alias("hash"))
 
 
 def changes(current: DataFrame, previous: DataFrame, key: str = "group_key", value: str = "hash") -> DataFrame:

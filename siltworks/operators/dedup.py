@@ -1,40 +1,67 @@
-"""Duplicates by window: one shuffle on the keys, equal NULLs are equal."""
+"""Duplicates: the first row of each key by partial aggregation, and marks on the others by a join that no hot key slows down. Equal NULLs are equal."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltworks.functions import columns as fn
 from siltworks.functions.fixed import META_COLUMNS
 from siltworks.operators.schema import quoted
 
+#: A key with so many rows is heavy; the most frequent of these, so many at most, are broadcast (some 100 bytes each).
+HEAVY, MAX_HEAVY = 10_000, 1 << 14
+#: Parts over which the rows of heavy keys are spread.
+SPREAD = 1 << 16
 
-def copy_number(keys: list[str], order: list[str | Column]) -> Column:
-    return F.row_number().over(Window.partitionBy(*map(quoted, keys)).orderBy(*order))
 
+def _keys(df: DataFrame, keys: list[str] | None) -> list[str]:
+    return [k for k in keys or [] if k in df.columns] or [c for c in df.columns if c not in META_COLUMNS and not c.startswith("_")]
 
-def numbered(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
-    """df with _copy: 1 for the first row of each key (all data columns by default)."""
-    keys = [k for k in keys or [] if k in df.columns] or [c for c in df.columns if c not in META_COLUMNS and not c.startswith("_")]
-    return df.withColumn("_copy", copy_number(keys, order or keys))
+
+def marked(df: DataFrame, keys: list[Column], order: list[str | Column], into: str, only: Column | None = None) -> DataFrame:
+    """df with a boolean: whether a row with the same keys comes before it in the order, among the rows that ``only`` holds for (false elsewhere).
+
+    Keys are grouped as two 64-bit hashes, and their firsts found in each task before the shuffle. Then the firsts of repeated keys are joined
+    back: those of heavy keys are broadcast, so that their rows need not meet in one task; keys beyond that bound hold at most 1 / MAX_HEAVY
+    of all rows each. Rows that the order doesn't tell apart are ordered by their place; df is read twice for that, so it has to be stored or
+    read from files then.
+    """
+    there = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    parts = [x for k in keys for x in (k.isNull(), k)]
+    at = F.struct(*(F.struct(c).alias(f"o{i}") for i, c in enumerate(order)), F.monotonically_increasing_id().alias("place"))
+    rows = df.withColumns({"_k1": F.xxhash64(F.lit(1), *parts), "_k2": F.xxhash64(F.lit(2), *parts), "_at": at, "_there": there})
+    firsts = rows.where("_there").groupBy("_k1", "_k2").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    heavy = firsts.where(F.col("_n") >= HEAVY).orderBy(F.desc("_n"), "_k1", "_k2").limit(MAX_HEAVY).select("_k1", "_k2", F.col("_first").alias("_heavy"))
+    light = firsts.select("_k1", "_k2", "_first", F.lit(0).alias("_spread"))
+    # rows of heavy keys match nothing in the second join, whatever part they fall into
+    known = rows.join(F.broadcast(heavy), ["_k1", "_k2"], "left")
+    known = known.withColumn("_spread", F.when(F.col("_heavy").isNotNull(), F.pmod("_at.place", F.lit(SPREAD)) + 1).otherwise(0).cast("int"))
+    found = known.join(light, ["_k1", "_k2", "_spread"], "left")
+    later = F.col("_there") & F.coalesce(F.col("_at") != F.coalesce("_heavy", "_first"), F.lit(False))
+    return found.select(*map(quoted, df.columns), later.alias(into))
 
 
 def without_copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
     """The first row of each key. Firsts are found in each task before the shuffle, so a key with very many rows is no hot group."""
-    keys = [k for k in keys or [] if k in df.columns] or [c for c in df.columns if c not in META_COLUMNS and not c.startswith("_")]
+    keys = _keys(df, keys)
     row = F.struct(*map(quoted, df.columns))
     first = df.groupBy(*(quoted(k).alias(f"_key{i}") for i, k in enumerate(keys))).agg(F.min_by(row, F.struct(*(order or map(quoted, keys)))).alias("_first"))
     return first.select("_first.*")
 
 
+def with_copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
+    """df with _is_copy: false for the first row of each key (all data columns by default)."""
+    keys = _keys(df, keys)
+    return marked(df, [*map(quoted, keys)], order or keys, "_is_copy")
+
+
 def copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
     """The rows that without_copies drops, with a _reason."""
-    return numbered(df, keys, order).where("_copy > 1").drop("_copy").withColumn("_reason", F.lit("duplicate"))
+    return with_copies(df, keys, order).where("_is_copy").drop("_is_copy").withColumn("_reason", F.lit("duplicate"))
 
 
-def repeated_reference(reference: Column, order: list) -> Column:
-    """True from the second row on with the same trimmed reference. Rows without one are spread, so that they are no hot group."""
+def with_repeats(df: DataFrame, reference: Column, order: list, into: str) -> DataFrame:
+    """df with a boolean: true from the second row on with the same trimmed reference. Rows without one are never repeats."""
     value = fn.trimmed(reference)
-    spread = F.when(value.isNull(), F.pmod(F.xxhash64(*order), F.lit(4096)))
-    return value.isNotNull() & (F.row_number().over(Window.partitionBy(value, spread).orderBy(*order)) > 1)
+    return marked(df, [value], order, into, value.isNotNull())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import columns as fn
 from siltworks.functions import fixed, names
-from siltworks.operators.dedup import repeated_reference
+from siltworks.operators.dedup import with_repeats
 from siltworks.operators.schema import quoted
 
 CRITICAL, MAJOR, WARNING = "CRITICAL", "MAJOR", "WARNING"
@@ -51,6 +51,8 @@ BIRTHS = ("date_of_birth", "dob", "customerdob")
 
 #: Names of columns that hold what repaired() replaced.
 BEFORE = "_before_"
+#: Name of the column that says whether a row's reference came before.
+REPEATED = "_repeated_reference"
 
 RULES = [
     Rule("GEN-001", MAJOR, ("email",), lambda c, _: c.isNotNull() & ~fn.is_email(text(c))),
@@ -83,8 +85,8 @@ ALWAYS = {"ISL-001", "ISL-002"}
 ALL_RULES = sorted([*BY_ID, *OTHERS])
 
 
-def conditions(df: DataFrame, table: str, active: set[str], as_of: Column, resolver: names.Resolver, order: list) -> list[tuple[str, str, str, Column]]:
-    """(rule, severity, column, condition) of what applies to the table."""
+def conditions(df: DataFrame, table: str, active: set[str], as_of: Column, resolver: names.Resolver) -> list[tuple[str, str, str, Column]]:
+    """(rule, severity, column, condition) of what applies to the table. Repeats of the reference are to stand in REPEATED."""
     found = []
     for r in RULES:
         if r.id not in active or r.table not in table.lower():
@@ -104,7 +106,7 @@ def conditions(df: DataFrame, table: str, active: set[str], as_of: Column, resol
         found.append(("BNK-008", CRITICAL, end, quoted(start).isNotNull() & quoted(end).isNotNull() & ~F.coalesce(a < b, F.lit(False))))
     reference = resolver.first(fixed.REFERENCE_COLUMNS)
     if "BNK-012" in active and reference:
-        found.append(("BNK-012", CRITICAL, reference, repeated_reference(text(quoted(reference)), order)))
+        found.append(("BNK-012", CRITICAL, reference, F.col(REPEATED)))
     rate = resolver.first(list(RATES))
     for rule, column, kinds in (("ISL-001", resolver.first(["account_type"]), fixed.ISLAMIC_ACCOUNTS), ("ISL-002", resolver.first(["product_type", "credit_type"]), fixed.ISLAMIC_CREDITS)):
         if rule in active | ALWAYS and rate and column:
@@ -120,7 +122,11 @@ def validated(df: DataFrame, table: str, active: set[str] | None = None, as_of:
     """
     now = F.lit(as_of) if as_of else F.current_date()
     resolver = names.Resolver(df.columns, mapping)
-    checks = conditions(df, table, {*ALL_RULES} if active is None else {*active}, now, resolver, order or [quoted(c) for c in df.columns])
+    active = {*ALL_RULES} if active is None else {*active}
+    reference = resolver.first(fixed.REFERENCE_COLUMNS)
+    if "BNK-012" in active and reference and REPEATED not in df.columns:
+        df = with_repeats(df, text(quoted(reference)), order or [quoted(c) for c in df.columns], REPEATED)
+    checks = conditions(df, table, active, now, resolver)
     made = [F.when(broken, F.struct(F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(rule_domain(rule)).alias("domain"), F.lit(column).alias("column"))) for rule, severity, column, broken in checks]
     made += [F.when(F.expr(sql), F.struct(F.lit(rule).alias("rule_id"), F.lit(MAJOR).alias("severity"), F.lit("custom").alias("domain"), F.lit("").alias("column"))) for rule, sql in (custom or {}).items()]
     # small arrays, so that each stays within what is compiled
@@ -129,7 +135,7 @@ def validated(df: DataFrame, table: str, active: set[str] | None = None, as_of:
     rank = F.array_max(F.transform("_violations", lambda v: F.array_position(F.array(*map(F.lit, SEVERITIES)), v["severity"])))
     blocking = F.filter("_violations", lambda v: v["severity"] != WARNING)
     return (
-        df.withColumn("_violations", violations).drop(*(c for c in df.columns if c.startswith(BEFORE)))
+        df.withColumn("_violations", violations).drop(REPEATED, *(c for c in df.columns if c.startswith(BEFORE)))
         .withColumns({"_violation_count": F.size("_violations"), "_max_severity": F.coalesce(F.get(F.array(*map(F.lit, SEVERITIES)), (rank - 1).cast("int")), F.lit("NONE"))})
         .withColumns({"_is_quarantined": F.col("_max_severity").isin(MAJOR, CRITICAL), "_quarantine_reason": F.nullif(F.array_join(F.transform(F.slice(blocking, 1, 3), lambda v: F.concat(F.lit("["), v["rule_id"], F.lit("] "), v["column"])), " | "), F.lit(""))})
     )

@@ -34,9 +34,9 @@ def clean(df: DataFrame, source_type: str = "source_file", table: str = "", prov
     plain = df.drop(*raw, "_bad_phones")
     if source_type in NEVER_DEDUPLICATED:
         return plain, bad
-    counted = dedup.numbered(plain, keys, ["_row_id"])
-    again = counted.where("_copy > 1").drop("_copy").withColumn("_reason", F.lit("duplicate"))
-    return counted.where("_copy = 1").drop("_copy"), bad.unionByName(again)
+    told = dedup.with_copies(plain, keys, ["_row_id"])
+    again = told.where("_is_copy").drop("_is_copy").withColumn("_reason", F.lit("duplicate"))
+    return told.where("not _is_copy").drop("_is_copy"), bad.unionByName(again)
 
 
 def clean_group(spark: SparkSession, source: files.Source, paths: list[str], out: str, at: str, provider: RuleProvider | None) -> dict:

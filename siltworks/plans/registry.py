@@ -441,7 +441,9 @@ def most_frequent_values(spark, sf_dir):
     return profile.values(table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderpriority"), 3)
 
 
-@query("group_hash", "SELECT lang AS group_key, md5(string_agg(doc_id::VARCHAR || ':' || md5(text) || ':' || octet_length(encode(text))::VARCHAR || ';', '' ORDER BY doc_id::VARCHAR)) AS hash FROM documents GROUP BY 1")
+@query("group_hash", """WITH f AS (SELECT lang, doc_id::VARCHAR AS path, doc_id::VARCHAR || ':' || md5(text) || ':' || octet_length(encode(text))::VARCHAR || ';' AS line FROM documents),
+    p AS (SELECT lang, md5(path)[1:3] AS part, md5(string_agg(line, '' ORDER BY path)) AS hash FROM f GROUP BY 1, 2)
+    SELECT lang AS group_key, md5(string_agg(hash, '' ORDER BY part)) AS hash FROM p GROUP BY 1""")
 def group_hash(spark, sf_dir):
     files = table(spark, sf_dir, "documents").select(F.col("lang").alias("group_key"), F.col("doc_id").cast("string").alias("path"), F.encode("text", "utf-8").alias("content"))
     return changes.group_hashes(files)

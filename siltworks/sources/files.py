@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import hashlib
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
 
 from siltworks.operators.changes import hashes_of_digests
-from siltworks.operators.schema import quoted, union_by_name
+from siltworks.sources.csv_files import read_csv
+from siltworks.sources.fingerprints import fingerprints
+from siltworks.sources.json_files import read_json, read_rows, read_wrapped
+from siltworks.sources.xml_files import read_xml
+
+#: Names that stand in a URI as they are, and the digest of a file without lines.
+PLAIN, NO_LINES = re.compile(r"[A-Za-z0-9._/=-]+"), "0" * 32
 
 
 @dataclass(frozen=True)
@@ -75,78 +80,27 @@ def qualified(spark: SparkSession, root: str) -> str:
     return base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toString().rstrip("/") + "/"
 
 
+def uri(spark: SparkSession, top: str, path: str) -> str:
+    """A file below the qualified root as Spark's metadata name it."""
+    return top + path if PLAIN.fullmatch(path) else spark._jvm.org.apache.hadoop.fs.Path(top + path).toUri().toString()
+
+
 def manifest(spark: SparkSession, root: str, groups: dict[Source, list[str]]) -> DataFrame:
-    """group_key, hash of each group's content; the executors read and hash the files, of 2 GB at most each. An empty file counts as empty content."""
-    rows = [(s.key, p) for s, ps in groups.items() for p in ps]
+    """group_key, hash of each group's content. Executors hash ranges of files of any size; an empty file counts as empty content."""
+    top = qualified(spark, root)
+    rows = [(s.key, p, uri(spark, top, p), size) for s, ps in groups.items() for p, size in zip(ps, sizes(spark, root, ps), strict=True)]
     if not rows:
         return spark.createDataFrame([], "group_key string, hash string")
-    names = spark.createDataFrame(rows, "group_key string, path string")
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([f"{root}/{p}" for _, p in rows])
-    hashed = content.select(F.substring("path", len(qualified(spark, root)) + 1, 1 << 20).alias("path"), F.md5("content").alias("md5"), F.col("length").cast("string").alias("bytes"))
-    found = names.join(hashed, "path", "left").fillna({"md5": hashlib.md5(b"").hexdigest(), "bytes": "0"})
-    return hashes_of_digests(found)
-
-
-def csv_traits(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """(encoding, whether values run over lines), from one pass over the lines: UTF-8 if all of them are, else Latin-1; a line with an odd number of quotes leaves a value open."""
-    lines = spark.read.text(path)
-    other, odd = lines.agg(F.count_if(~F.is_valid_utf8("value")), F.count_if(F.regexp_count("value", F.lit('"')) % 2 == 1)).first()
-    return ("ISO-8859-1" if other else "UTF-8"), bool(odd)
-
-
-def read_csv(spark: SparkSession, paths: list[str], encoding: str | None = None, multi_line: bool | None = None) -> DataFrame:
-    """Every column as text, so that dirt does not decide types; a byte order mark at the first name is dropped.
-
-    encoding, multi_line: of all files; by default each file's own. Only a file with values over several lines is read by one task.
-    """
-    alike: dict[tuple[str, bool], list[str]] = {}
-    for p in paths:
-        own = csv_traits(spark, p) if encoding is None or multi_line is None else ("", False)
-        alike.setdefault((encoding or own[0], own[1] if multi_line is None else multi_line), []).append(p)
-    frames = []
-    for (said, whole), some in alike.items():
-        df = spark.read.options(header=True, inferSchema=False, multiLine=whole, escape='"', encoding=said).csv(some)
-        frames.append(df.toDF(*(c.lstrip("\ufeff") for c in df.columns)))
-    return union_by_name(frames)
-
-
-def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """An object or an array of objects in each file."""
-    return spark.read.option("multiLine", True).json(paths)
-
-
-def read_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """As read_json, or objects that hold their rows under ``rows``."""
-    df = read_json(spark, paths)
-    kind = next((f.dataType for f in df.schema if f.name == "rows"), None)
-    if not isinstance(kind, ArrayType) or not isinstance(kind.elementType, StructType):
-        return df
-    inside = df.where(F.col("rows").isNotNull()).select(F.explode("rows").alias("r")).select("r.*")
-    plain = df.where(F.col("rows").isNull()).drop("rows")
-    return union_by_name([inside, plain]) if plain.columns else inside
-
-
-def read_wrapped(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """An object whose values are rows or arrays of rows; other values are left out."""
-    df, parts = read_json(spark, paths), []
-    for f in df.schema:
-        if isinstance(f.dataType, ArrayType) and isinstance(f.dataType.elementType, StructType):
-            parts.append(df.select(F.explode(quoted(f.name)).alias("r")).select("r.*"))
-        elif isinstance(f.dataType, StructType):
-            parts.append(df.where(quoted(f.name).isNotNull()).select(quoted(f.name).alias("r")).select("r.*"))
-    return union_by_name(parts) if parts else df.limit(0)
-
-
-def read_xml(spark: SparkSession, paths: list[str], row_tag: str | None = None) -> DataFrame:
-    """The root's children as rows of text; their tag is looked up in the head of the first file."""
-    if row_tag is None:
-        import re
-
-        head = spark.read.option("wholetext", True).text(paths[0]).select(F.substring("value", 1, 4000)).first()[0]
-        tags = re.findall(r"<([A-Za-z_][\w.-]*)", re.sub(r"<\?.*?\?>|<!--.*?-->", "", head, flags=re.S))
-        row_tag = tags[1]
-    df = spark.read.options(rowTag=row_tag, inferSchema=False).xml(paths)
-    return df.select(*(c for c in df.columns if not c.startswith("_")))
+    names = spark.createDataFrame(rows, "group_key string, path string, uri string, bytes bigint").withColumn("file", F.xxhash64("uri"))
+    found = names.join(fingerprints(spark, [top + p for _, p, _, _ in rows]), "file", "left")
+    return hashes_of_digests(found.select("group_key", "path", F.coalesce("digest", F.lit(NO_LINES)).alias("digest"), F.col("bytes").cast("string").alias("bytes")))
+
+
+def sizes(spark: SparkSession, root: str, paths: list[str]) -> list[int]:
+    """Lengths in bytes, from the file system's listing."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return [fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/{p}")).getLen() for p in paths]
 
 
 def read(spark: SparkSession, source: Source, paths: list[str]) -> DataFrame:
