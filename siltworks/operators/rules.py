@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import columns as fn
 from siltworks.functions import fixed, names
+from siltworks.operators.conditions import PREFIX, Condition, resolved
 from siltworks.operators.dedup import with_repeats
 from siltworks.operators.schema import quoted
 
@@ -114,11 +115,12 @@ def conditions(df: DataFrame, table: str, active: set[str], as_of: Column, resol
     return found
 
 
-def validated(df: DataFrame, table: str, active: set[str] | None = None, as_of: date | None = None, mapping: dict[str, str] | None = None, order: list | None = None, custom: dict[str, str] | None = None) -> DataFrame:
+def validated(df: DataFrame, table: str, active: set[str] | None = None, as_of: date | None = None, mapping: dict[str, str] | None = None, order: list | None = None, custom: dict[str, str] | list[Condition] | None = None) -> DataFrame:
     """df with _violations, _violation_count, _max_severity, _is_quarantined and _quarantine_reason.
 
     active: rule ids (all by default); the two interest rules apply always. as_of: the day that counts as today. custom: further rules, id to a
-    SQL condition of a violation. order: columns that order rows (for repeated references), all columns by default.
+    SQL condition of a violation, which has to resolve; or conditions with severity and column, of which those that don't resolve are
+    left out (conditions.resolved() tells which). order: columns that order rows (for repeated references), all columns by default.
     """
     now = F.lit(as_of) if as_of else F.current_date()
     resolver = names.Resolver(df.columns, mapping)
@@ -128,14 +130,18 @@ def validated(df: DataFrame, table: str, active: set[str] | None = None, as_of:
         df = with_repeats(df, text(quoted(reference)), order or [quoted(c) for c in df.columns], REPEATED)
     checks = conditions(df, table, active, now, resolver)
     made = [F.when(broken, F.struct(F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(rule_domain(rule)).alias("domain"), F.lit(column).alias("column"))) for rule, severity, column, broken in checks]
-    made += [F.when(F.expr(sql), F.struct(F.lit(rule).alias("rule_id"), F.lit(MAJOR).alias("severity"), F.lit("custom").alias("domain"), F.lit("").alias("column"))) for rule, sql in (custom or {}).items()]
+    said = [Condition(r, c) for r, c in custom.items()] if isinstance(custom, dict) else custom or []
+    df, own, wrong = resolved(df, said)
+    if wrong and isinstance(custom, dict):
+        raise ValueError(f"conditions that don't resolve: {wrong}")
+    made += [F.when(broken, F.struct(F.lit(c.rule_id).alias("rule_id"), F.lit(c.severity).alias("severity"), F.lit("custom").alias("domain"), F.lit(c.column).alias("column"))) for c, broken in own]
     # small arrays, so that each stays within what is compiled
     parts = [F.array_compact(F.array(*made[i : i + 8])) for i in range(0, len(made), 8)]
     violations = F.concat(*parts) if parts else F.expr(f"cast(array() as array<{VIOLATION}>)")
     rank = F.array_max(F.transform("_violations", lambda v: F.array_position(F.array(*map(F.lit, SEVERITIES)), v["severity"])))
     blocking = F.filter("_violations", lambda v: v["severity"] != WARNING)
     return (
-        df.withColumn("_violations", violations).drop(REPEATED, *(c for c in df.columns if c.startswith(BEFORE)))
+        df.withColumn("_violations", violations).drop(REPEATED, *(c for c in df.columns if c.startswith((BEFORE, PREFIX))))
         .withColumns({"_violation_count": F.size("_violations"), "_max_severity": F.coalesce(F.get(F.array(*map(F.lit, SEVERITIES)), (rank - 1).cast("int")), F.lit("NONE"))})
         .withColumns({"_is_quarantined": F.col("_max_severity").isin(MAJOR, CRITICAL), "_quarantine_reason": F.nullif(F.array_join(F.transform(F.slice(blocking, 1, 3), lambda v: F.concat(F.lit("["), v["rule_id"], F.lit("] "), v["column"])), " | "), F.lit(""))})
     )

@@ -15,11 +15,11 @@ def quoted(c: str):
     return F.col("`" + c.replace("`", "``") + "`")
 
 
-def snake_names(df: DataFrame) -> DataFrame:
-    """Snake case; a name that would come twice gets a number."""
+def snake_names(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Snake case, but for the names to keep; a name that would come twice gets a number."""
     seen: dict[str, int] = {}
     new = []
-    for n in map(names.snake, df.columns):
+    for n in (c if c in keep else names.snake(c) for c in df.columns):
         seen[n] = seen.get(n, 0) + 1
         new.append(n if seen[n] == 1 else f"{n}_{seen[n]}")
     return df.toDF(*new)

@@ -1,4 +1,4 @@
-"""python -m siltworks.plans.cli clean|validate|list|status|export ROOT OUT [--only NAME ...] [--force] [--rules FILE] [--as-of DAY]"""
+"""python -m siltworks.plans.cli clean|validate|list|status|export ROOT OUT [--only NAME ...] [--db NAME ...] [--force] [--rules FILE] [--as-of DAY]"""
 
 from __future__ import annotations
 
@@ -19,6 +19,7 @@ def main(args: list[str] | None = None) -> list:
     p.add_argument("root")
     p.add_argument("out")
     p.add_argument("--only", nargs="*", default=[])
+    p.add_argument("--db", nargs="*", default=[], help="databases whose tables are taken")
     p.add_argument("--force", action="store_true")
     p.add_argument("--rules", help="a JSON document of rules; by default rules come from the columns")
     p.add_argument("--as-of", type=date.fromisoformat, help="the day that counts as today")
@@ -33,7 +34,7 @@ def main(args: list[str] | None = None) -> list:
     else:
         provider = DocumentRules("\n".join(r[0] for r in spark.read.text(a.rules).collect())) if a.rules else HeuristicRules()
         days = {"as_of": a.as_of} if a.what == "validate" else {}
-        said = (run_clean if a.what == "clean" else run_validate)(spark, a.root, a.out, provider, only={*a.only} or None, force=a.force, **days)
+        said = (run_clean if a.what == "clean" else run_validate)(spark, a.root, a.out, provider, only={*a.only} or None, dbs={*a.db} or None, force=a.force, **days)
     for x in said:
         print(json.dumps(x, default=str, ensure_ascii=False))
     return said

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 
 from siltworks.functions import names
 from siltworks.operators.cleaning import CleaningRules, ColumnRule
+from siltworks.operators.conditions import Condition
 from siltworks.operators.profile import column_profiles
-from siltworks.operators.rules import ALL_RULES, BY_ID
+from siltworks.operators.rules import ALL_RULES, BY_ID, MAJOR
 
 
 class RuleProvider(Protocol):
@@ -18,6 +19,8 @@ class RuleProvider(Protocol):
 
     def business(self, table: str, df: DataFrame) -> tuple[set[str], dict[str, str]]: ...
 
+    # conditions(table) is optional: further rules of a table
+
 
 class NoRules:
     """Only what needs no rules: nulls, phones and duplicates; the interest rules."""
@@ -68,6 +71,11 @@ class DocumentRules:
             mapping[r["rule_id"]] = next(iter(m.values()), "") if isinstance(m, dict) else m or ""
         return {r["rule_id"] for r in chosen}, mapping
 
+    def conditions(self, table: str) -> list[Condition]:
+        """A table's own rules, ``custom_rules`` beside applicable_rules: rule_id, condition (SQL, true for a violation), severity and column."""
+        said = self.documents.get(table, {}).get("business", {}).get("custom_rules", [])
+        return [Condition(str(r.get("rule_id", f"CUSTOM-{i}")), str(r.get("condition") or ""), str(r.get("severity", MAJOR)).upper(), str(r.get("column") or "")) for i, r in enumerate(said) if r.get("applies", True)]
+
 
 def repaired_json(said: str) -> str:
     """The document in an answer that may stand between fences or words."""

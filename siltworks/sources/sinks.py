@@ -7,6 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltworks.sources.state import StateFile
+
 
 def write_table(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
@@ -35,19 +37,18 @@ def _path(spark: SparkSession, path: str):
 
 
 def load_state(spark: SparkSession, path: str) -> dict:
-    """An empty state if there is none or it is broken; the older key ``file_hashes`` is taken over."""
-    p, fs = _path(spark, path)
-    if not fs.exists(p):
-        return {}
-    try:
-        state = json.loads("\n".join(r[0] for r in spark.read.text(path).collect()))
-    except ValueError:
-        return {}
+    """The last whole version of a state; an empty one if there is none or it is broken. The older key ``file_hashes`` is taken over."""
+    state = StateFile(spark, path).read()
     if "file_hashes" in state:
         state.setdefault("hashes", state.pop("file_hashes"))
     return state
 
 
+def save_state(spark: SparkSession, path: str, state: dict) -> None:
+    """The state as the version after the latest."""
+    StateFile(spark, path).update(lambda _: state)
+
+
 def append_line(spark: SparkSession, folder: str, name: str, line: str) -> None:
     """One line of a log as a file of its own in a folder, which Spark reads as one table of lines."""
     target, fs = _path(spark, f"{folder}/{name}.log")
@@ -56,12 +57,12 @@ def append_line(spark: SparkSession, folder: str, name: str, line: str) -> None:
     out.close()
 
 
-def save_state(spark: SparkSession, path: str, state: dict, indent: int | None = 2) -> None:
-    """Written beside and renamed, so that a reader never sees half of it."""
+def write_document(spark: SparkSession, path: str, document: dict) -> None:
+    """A report as one file of one line of JSON, which is not there before it is whole."""
     target, fs = _path(spark, path)
     beside, _ = _path(spark, path + ".new")
     out = fs.create(beside, True)
-    out.write(bytearray(json.dumps(state, indent=indent, sort_keys=True, ensure_ascii=False, default=str).encode()))
+    out.write(bytearray(json.dumps(document, sort_keys=True, ensure_ascii=False, default=str).encode()))
     out.close()
     fs.delete(target, True)
     fs.rename(beside, target)

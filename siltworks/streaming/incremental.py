@@ -13,7 +13,7 @@ from siltworks.operators import rules
 
 
 def stream_validated(stream: DataFrame, table: str, active: set[str], as_of: date | None = None) -> DataFrame:
-    """Row rules on a stream. Repeated references need all rows, so BNK-012 is left to unique_within()."""
+    """Row rules on a stream. Repeated references (BNK-012) need a state: references.stream_validated_all() keeps one."""
     return rules.validated(stream, table, active - {"BNK-012"}, as_of)
 
 
@@ -32,8 +32,3 @@ def follow(spark: SparkSession, schema: str, path: str, checkpoint: str, each: C
     stream = spark.readStream.schema(schema).options(**options).format(fmt).load(path)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-
-
-def observed(checked: DataFrame, name: str = "rows") -> DataFrame:
-    """Counts rows and quarantined rows while the frame is written; a listener or Observation reads them."""
-    return checked.observe(name, F.count("*").alias("total"), F.count_if("_is_quarantined").alias("quarantined"))
