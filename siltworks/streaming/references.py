@@ -33,12 +33,12 @@ class Repeats(StatefulProcessor):
         out = Row(*self.names)
         if key[0] is None:  # nothing to remember
             for r in rows:
-                yield out(*r["row"], False)
+                yield out(*(r[n] for n in self.names[:-1]), False)
             return
         before = self.seen.exists()
         # a micro-batch's rows of one reference
-        for r in sorted(rows, key=lambda r: (r["row"][self.order] is None, r["row"][self.order])):
-            yield out(*r["row"], before)
+        for r in sorted(rows, key=lambda r: (r[self.order] is None, r[self.order])):
+            yield out(*(r[n] for n in self.names[:-1]), before)
             before = True
         self.seen.update((True,))
 
@@ -48,14 +48,14 @@ class Repeats(StatefulProcessor):
 
 def with_stream_repeats(stream: DataFrame, reference: Column, order: str, keep: int | None = None, into: str = rules.REPEATED) -> DataFrame:
     """The stream with a boolean: whether a row with the same trimmed reference came before. keep: seconds after which a reference that didn't come
-    again is forgotten (never by default). Rows without one are spread and never repeats. The session has to keep states in RocksDB (STATE_STORE).
+    again is forgotten (never by default); processing time goes on by itself, so a stream that forgets runs until it is stopped, whatever its trigger. Rows without one are spread and never repeats. The session has to keep states in RocksDB (STATE_STORE).
     """
     value = fn.trimmed(reference)
     part = F.when(value.isNull(), F.pmod(F.xxhash64(*map(quoted, stream.columns)), F.lit(SPREAD))).otherwise(0)
-    rows = stream.select(value.alias("reference"), part.cast("int").alias("part"), F.struct(*map(quoted, stream.columns)).alias("row"))
+    rows = stream.select(value.alias("_reference_key"), part.cast("int").alias("_reference_part"), *map(quoted, stream.columns))
     schema = StructType([*stream.schema.fields, StructField(into, BooleanType())])
     processor = Repeats(schema.names, order, keep * 1000 if keep else None)
-    return rows.groupBy("reference", "part").transformWithState(processor, schema, "append", "ProcessingTime" if keep else "None")
+    return rows.groupBy("_reference_key", "_reference_part").transformWithState(processor, schema, "append", "ProcessingTime" if keep else "None")
 
 
 def stream_validated_all(stream: DataFrame, table: str, active: set[str], order: str, as_of: date | None = None, keep: int | None = None) -> DataFrame:
