@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
 from siltworks.operators.schema import quoted, union_by_name
 
-#: What stands before the root, and the root's name.
-BEFORE = r"(?s)<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^\[>]*(\[.*?\])?\s*>"
-ROOT = r"<([A-Za-z_][^\s/>]*)"
+#: The root's name, behind what may stand before it.
+ROOT = r"(?s)^(?:[\s\uFEFF]|<\?.*?\?>|<!--.*?-->|<!DOCTYPE[^\[>]*(?:\[.*?\])?\s*>)*+<([A-Za-z_][^\s/>]*)"
 
 
 def rows_of(kind: DataType) -> StructType | None:
@@ -33,14 +34,11 @@ def read_xml(spark: SparkSession, paths: list[str], row_tag: str | None = None)
     if row_tag is not None:
         df = spark.read.options(rowTag=row_tag, inferSchema=False).xml(paths)
         return df.select(*(quoted(c) for c in df.columns if not c.startswith("_")))
-    head = F.regexp_replace(F.col("value"), BEFORE, "")
-    root = F.regexp_extract(head, ROOT, 1)
-    files = spark.read.option("wholetext", True).text(paths).select(root.alias("root"), F.col("_metadata.file_path").alias("file"))
+    root = F.regexp_extract("value", ROOT, 1)
+    files = spark.read.text(paths, wholetext=True).select(root.alias("root"), F.col("_metadata.file_path").alias("file"))
     roots = {r["root"]: r["files"] for r in files.groupBy("root").agg(F.collect_set("file").alias("files")).collect()}
     if not roots or "" in roots:
         raise ValueError(f"no root element in {', '.join((roots.get('') or paths)[:5])}")
-    from urllib.parse import unquote
-
     frames = []
     for name, some in sorted(roots.items()):
         own = [unquote(f) for f in sorted(some)]

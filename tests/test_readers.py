@@ -68,7 +68,7 @@ def test_lines_are_split_into_tasks(spark, tmp_path):
 
 def test_xml_children_of_any_tag(spark, tmp_path):
     paths = write(tmp_path, {
-        "1.xml": "<?xml version='1.0'?><!-- <no> --><all><a><x>1</x></a><b><x>2</x><y>t</y></b><a><x>3</x><b><x>9</x></b></a><n>5</n></all>",
+        "1.xml": "\ufeff<?xml version='1.0'?>\n<!-- <no>\n -->\n<!DOCTYPE all [<!ELEMENT a ANY>]>\n<all>\n<a><x>1</x></a><b><x>2</x><y>t</y></b><a><x>3</x><b><x>9</x></b></a><n>5</n></all>",
         "2.xml": "<all><c k='v'><z>4</z></c></all>", "3.xml": "<other><a><x>5</x></a></other>",
     })
     got = xml_files.read_xml(spark, paths)

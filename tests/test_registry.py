@@ -4,7 +4,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from siltworks.plans import registry
+from siltworks.plans import round_trips as registry
 
 
 @pytest.fixture(scope="session")
