@@ -30,7 +30,11 @@ from siltworks.llm.common import per_row
 # Names of HTML elements and usual tokens of page parts.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg title textarea select button object".split())
-INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i kbd label mark q s samp small span strong sub sup time tt u var wbr img".split())
+INLINE = frozenset(
+    "a abbr acronym area audio b bdi bdo big canvas cite code data del dfn em embed font i img input ins kbd label link map mark math meta meter nobr output picture progress q rb rp rt rtc ruby s samp slot small span strike strong sub sup time tt u var video wbr"
+    " annotation mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
+)
+FOREIGN = frozenset("svg math".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 GOOD = frozenset("article main articlebody content post entry story".split())
 BAD = frozenset(
@@ -39,7 +43,8 @@ BAD = frozenset(
 
 # quotes open a value only after =; one that is never closed is a character of an unquoted value
 ATTRIBUTES = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|[^>=]++)*+"""
-TAG = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
+# a comment ends at the first of these, also right where it begins
+TAG = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)({ATTRIBUTES})(?:>|\Z)|<[!?][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 SELF_CLOSED = re.compile(r"""(?:\A|[\s"'])/\s*\Z""")
 N_FEATURES = 16
@@ -105,10 +110,11 @@ def parse(page: str) -> list[Node]:
                     up = up.parent
                 here = close(up)
             continue
-        closed = SELF_CLOSED.search(m[3]) is not None
+        # a slash closes nothing but foreign elements (void ones are closed anyway)
+        closed = (tag in FOREIGN or open_["math"] > 0) and SELF_CLOSED.search(m[3]) is not None
         if tag in RAW:
             if not closed and tag not in never:
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>", re.I).search(page, at)
                 if end:
                     at = end.end()
                 else:

@@ -81,3 +81,38 @@ def test_quotes_and_open_elements():
     began = time.process_time()
     assert text("<p>story</p>" + "<select>" * 250_000 + "end") == "story\nend"
     assert time.process_time() - began < 2
+
+
+PHRASES = "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rb rp rt rtc ruby s samp small span strike strong sub sup time tt u var".split()
+
+
+def test_comments_slashes_and_phrases_as_the_html_tokenizer_has_them():
+    text = lambda page: blocks(nodes := parse(page), [True] * len(nodes))
+    assert text("<p>first</p><!--> <p>second</p> --> <p>third</p>") == "first\nsecond\n-->\nthird"
+    assert text("<p>first</p><!---> <p>second</p>") == "first\nsecond"
+    assert text("<p>first</p><!-- note --!><p>second</p><!-- a > b -- c --><p>third</p>") == "first\nsecond\nthird"
+    assert text("<script src='a.js'/>var leaked = 1; track(leaked);</script><p>x</p>") == "x"
+    assert text("<style/>p { color: red }</STYLE foo><p>x</p>") == "x"
+    assert text("<section><div/>inside</div>after</section>end") == "inside\nafter\nend"
+    assert text("<p>a <svg/> b <math><mi/>c</math> d</p>") == "a b c d"
+    assert text("<p>was <del>ten</del> <ins>nine</ins> euros</p>") == "was ten nine euros"
+    for name in PHRASES:
+        assert text(f"<p>was <{name}>ten</{name}> euros</p>") == "was ten euros", name
+    for page in ("<!-->" * 200_000, "<!-- a --!>" * 200_000, "<div/>" * 100_000 + "</div>" * 100_000, "<!--" * 300_000):
+        began = time.process_time()
+        parse(page)
+        assert time.process_time() - began < 10
+
+
+def test_such_pages_through_the_operator(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", "html")
+    story = "A long story, told in whole sentences, that goes on for a while. It has commas, and stops. " * 5
+    page = "<html><body><nav><a href=/>Home</a></nav><article><p>{0}</p>{1}<p>{0}</p></article></body></html>"
+    middles = ["<!--> <p>It was lost, and has been found again.</p> -->", "<!-- note --!>", "<script src='a.js'/>var leaked = 1; track(leaked);</script>", "<p>It was <del>ten</del> <ins>nine</ins> euros, they said.</p>"]
+    rows = [(20_000 + i, None, page.format(story, m)) for i, m in enumerate(middles)] * 2
+    got = main_text(pages.unionByName(spark.createDataFrame(rows, pages.schema))).where("page_id >= 20000").collect()
+    assert len(got) == 8  # a row that stands twice is treated alike
+    texts = {r["page_id"]: r["text"] for r in got}
+    whole = " ".join(story.split())
+    assert all(t.count(whole) == 2 for t in texts.values()) and all(texts[r["page_id"]] == r["text"] for r in got)
+    assert "It was lost, and has been found again." in texts[20_000] and "leaked" not in texts[20_002] and "It was ten nine euros, they said." in texts[20_003].split("\n")
