@@ -42,10 +42,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
-    base_kinds = F.filter("entities", lambda s: s["kind"] != "secret")
-    spans = F.array_join(F.transform(base_kinds, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    n = F.size("entities").cast("bigint")
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"), (n - F.size(base_kinds)).alias("n_secret"), n.alias("n_found"))
+    # all kinds in their order, secrets last
+    spans = F.array_join(F.transform("entities", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    n_secret = F.size(F.filter("entities", lambda s: s["kind"] == "secret")).cast("bigint")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", spans.alias("spans"), n_secret.alias("n_secret"), F.size("entities").cast("bigint").alias("n_found"))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

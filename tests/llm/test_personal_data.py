@@ -52,7 +52,8 @@ def test_query(spark, sf):
         said = [f"{k}:{s}:{e}" for k, s, e in base]
         assert [r[f"n_{k}"] for k in KINDS] == [sum(b[0] == k for b in base) for k in KINDS]
         assert r["base_sha256"] == hashlib.sha256(",".join(said).encode()).hexdigest()
-        assert set(said) <= set(r["spans"].split(",") if r["spans"] else [])
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(said) <= set(spans) and len(spans) == r["n_found"] and sum(x.startswith("secret:") for x in spans) == r["n_secret"]
 
 
 def test_contexts_discover_grouped_and_at_forms(spark):
