@@ -9,8 +9,8 @@ from siltworks.functions import columns as fn
 from siltworks.functions.fixed import META_COLUMNS
 from siltworks.operators.schema import quoted
 
-#: A key with so many rows is heavy; the most frequent of these, so many at most, are broadcast (some 100 bytes each).
-HEAVY, MAX_HEAVY = 10_000, 1 << 14
+#: A key with so many rows is heavy; the most frequent of these, so many at most, are broadcast (three numbers each).
+HEAVY, MAX_HEAVY = 200, 1 << 14
 #: Parts over which the rows of heavy keys are spread.
 SPREAD = 1 << 16
 
@@ -29,16 +29,16 @@ def marked(df: DataFrame, keys: list[Column], order: list[str | Column], into: s
     """
     there = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     parts = [x for k in keys for x in (k.isNull(), k)]
-    at = F.struct(*(F.struct(c).alias(f"o{i}") for i, c in enumerate(order)), F.monotonically_increasing_id().alias("place"))
-    rows = df.withColumns({"_k1": F.xxhash64(F.lit(1), *parts), "_k2": F.xxhash64(F.lit(2), *parts), "_at": at, "_there": there})
-    firsts = rows.where("_there").groupBy("_k1", "_k2").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    heavy = firsts.where(F.col("_n") >= HEAVY).orderBy(F.desc("_n"), "_k1", "_k2").limit(MAX_HEAVY).select("_k1", "_k2", F.col("_first").alias("_heavy"))
-    light = firsts.select("_k1", "_k2", "_first", F.lit(0).alias("_spread"))
+    rows = df.withColumns({"_k1": F.xxhash64(F.lit(1), *parts), "_k2": F.xxhash64(F.lit(2), *parts), "_place": F.monotonically_increasing_id(), "_there": there})
+    at = F.struct(*(F.struct(c).alias(f"o{i}") for i, c in enumerate(order)), "_place")
+    firsts = rows.where("_there").groupBy("_k1", "_k2").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    heavy = firsts.where(F.col("_n") >= HEAVY).orderBy(F.desc("_n"), "_k1", "_k2").limit(MAX_HEAVY).select("_k1", "_k2", F.col("_first._place").alias("_heavy"))
+    light = firsts.select("_k1", "_k2", F.col("_first._place").alias("_light"), F.lit(0).alias("_spread"))
     # rows of heavy keys match nothing in the second join, whatever part they fall into
     known = rows.join(F.broadcast(heavy), ["_k1", "_k2"], "left")
-    known = known.withColumn("_spread", F.when(F.col("_heavy").isNotNull(), F.pmod("_at.place", F.lit(SPREAD)) + 1).otherwise(0).cast("int"))
+    known = known.withColumn("_spread", F.when(F.col("_heavy").isNotNull(), F.pmod("_place", F.lit(SPREAD)) + 1).otherwise(0).cast("int"))
     found = known.join(light, ["_k1", "_k2", "_spread"], "left")
-    later = F.col("_there") & F.coalesce(F.col("_at") != F.coalesce("_heavy", "_first"), F.lit(False))
+    later = F.col("_there") & F.coalesce(F.col("_place") != F.coalesce("_heavy", "_light"), F.lit(False))
     return found.select(*map(quoted, df.columns), later.alias(into))
 
 
@@ -53,7 +53,7 @@ def without_copies(df: DataFrame, keys: list[str] | None = None, order: list | N
 def with_copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
     """df with _is_copy: false for the first row of each key (all data columns by default)."""
     keys = _keys(df, keys)
-    return marked(df, [*map(quoted, keys)], order or keys, "_is_copy")
+    return marked(df, [*map(quoted, keys)], order or [], "_is_copy")
 
 
 def copies(df: DataFrame, keys: list[str] | None = None, order: list | None = None) -> DataFrame:
