@@ -11,8 +11,6 @@ from siltworks.operators.schema import quoted
 
 #: A key with so many rows is heavy; the most frequent of these, so many at most, are broadcast (three numbers each).
 HEAVY, MAX_HEAVY = 200, 1 << 14
-#: Parts over which the rows of heavy keys are spread.
-SPREAD = 1 << 16
 
 
 def _keys(df: DataFrame, keys: list[str] | None) -> list[str]:
@@ -33,11 +31,11 @@ def marked(df: DataFrame, keys: list[Column], order: list[str | Column], into: s
     at = F.struct(*(F.struct(c).alias(f"o{i}") for i, c in enumerate(order)), "_place")
     firsts = rows.where("_there").groupBy("_k1", "_k2").agg(F.min(at).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
     heavy = firsts.where(F.col("_n") >= HEAVY).orderBy(F.desc("_n"), "_k1", "_k2").limit(MAX_HEAVY).select("_k1", "_k2", F.col("_first._place").alias("_heavy"))
-    light = firsts.select("_k1", "_k2", F.col("_first._place").alias("_light"), F.lit(0).alias("_spread"))
-    # rows of heavy keys match nothing in the second join, whatever part they fall into
+    light = firsts.select(F.col("_k1").alias("_dealt"), "_k2", F.col("_first._place").alias("_light"))
+    # rows of heavy keys are dealt by their place: what they might match in the second join doesn't count
     known = rows.join(F.broadcast(heavy), ["_k1", "_k2"], "left")
-    known = known.withColumn("_spread", F.when(F.col("_heavy").isNotNull(), F.pmod("_place", F.lit(SPREAD)) + 1).otherwise(0).cast("int"))
-    found = known.join(light, ["_k1", "_k2", "_spread"], "left")
+    known = known.withColumn("_dealt", F.when(F.col("_heavy").isNotNull(), F.xxhash64("_place")).otherwise(F.col("_k1")))
+    found = known.join(light, ["_dealt", "_k2"], "left")
     later = F.col("_there") & F.coalesce(F.col("_place") != F.coalesce("_heavy", "_light"), F.lit(False))
     return found.select(*map(quoted, df.columns), later.alias(into))
 
