@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,6 +12,10 @@ from siltworks.functions import fixed
 SPACES = " \t\n\r\f\x0b"
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+TOKENS = {"yyyy": "([0-9]{4})", "MMMM": "([A-Za-z]+)", "MM": "([0-9]{2})", "dd": "([0-9]{2})", "d": "([0-9]{1,2})"}
+#: Forms whose parts stand at fixed places: digits and separators decide, without a regular expression.
+FIXED_WIDTH = re.compile("(?:yyyy|yy|MM|dd|[-/])+")
+WEEK = r"^([0-9]{4})(-?)W([0-9]{2})(?:\2([0-9]))?$"
 
 
 def trimmed(c: Column) -> Column:
@@ -41,22 +47,22 @@ def clean_integer(c: Column) -> Column:
 
 def date_of(c: Column, form: str) -> Column:
     """The date that has exactly this form. Two-digit years from 70 on are 19xx."""
-    pattern, order, rest = "", [], form
-    while rest:
-        for token, piece in (("yyyy", "([0-9]{4})"), ("yy", "([0-9]{2})"), ("MMMM", "([A-Za-z]+)"), ("MM", "([0-9]{2})"), ("dd", "([0-9]{2})"), ("d", "([0-9]{1,2})")):
-            if rest.startswith(token):
-                pattern, rest = pattern + piece, rest[len(token) :]
-                order.append(token)
-                break
-        else:
-            pattern, rest = pattern + rest[0], rest[1:]
     t = trimmed(c)
-    part = {token: F.regexp_extract(t, f"^{pattern}$", i + 1) for i, token in enumerate(order)}
+    if FIXED_WIDTH.fullmatch(form):
+        fits = F.translate(t, "012345678", "999999999") == re.sub("[yMd]", "9", form)
+        part = {token: F.substring(t, form.index(token) + 1, len(token)) for token in re.findall("y+|M+|d+", form)}
+    else:
+        pattern, order = "", []
+        for piece in re.findall(r"yyyy|MMMM|MM|dd|d|.", form):
+            order += [piece] if piece in TOKENS else []
+            pattern += TOKENS.get(piece, piece)
+        fits = t.rlike(f"^{pattern}$")
+        part = {token: F.regexp_extract(t, f"^{pattern}$", i + 1) for i, token in enumerate(order)}
     year = part["yyyy"] if "yyyy" in part else F.concat(F.when(part["yy"] >= "70", "19").otherwise("20"), part["yy"])
     month = part.get("MM", F.lit("01"))
     if "MMMM" in part:
         month = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(part["MMMM"])).cast("string")
-    return F.when(t.rlike(f"^{pattern}$"), F.concat_ws("-", year, month, part.get("dd", part.get("d", F.lit("01"))))).try_cast("date")
+    return F.when(fits, F.concat_ws("-", year, month, part.get("dd", part.get("d", F.lit("01"))))).try_cast("date")
 
 
 def parsed_date(c: Column, formats: list[str] | None = None) -> Column:
@@ -64,10 +70,20 @@ def parsed_date(c: Column, formats: list[str] | None = None) -> Column:
     return F.coalesce(*(date_of(c, f) for f in formats or fixed.DATE_FORMATS + fixed.MORE_DATE_FORMATS))
 
 
+def week_date(c: Column) -> Column:
+    """The date of an ISO week, with or without its day: ``2024-W05-3``, ``2024W053``, ``2024-W05`` (its Monday)."""
+    year, week, day = F.regexp_extract(c, WEEK, 1).try_cast("int"), F.regexp_extract(c, WEEK, 3).try_cast("int"), F.regexp_extract(c, WEEK, 4)
+    day = F.when(day == "", 1).otherwise(day.try_cast("int"))
+    # the fourth of January is always in week 1
+    fourth = F.make_date(F.when(year > 0, year), F.lit(1), F.lit(4))
+    monday = F.date_add(fourth, 7 * (week - 1) - F.weekday(fourth))
+    return F.when((F.weekofyear(monday) == week) & day.between(1, 7), F.date_add(monday, day - 1))
+
+
 def iso_date(c: Column) -> Column:
-    """The date that the first ten characters hold as yyyy-MM-dd or yyyyMMdd."""
+    """The date that the first ten characters hold as yyyy-MM-dd, yyyyMMdd or an ISO week."""
     head = F.substring(c.cast("string"), 1, 10)
-    return F.coalesce(date_of(head, "yyyy-MM-dd"), date_of(head, "yyyyMMdd"))
+    return F.coalesce(date_of(head, "yyyy-MM-dd"), date_of(head, "yyyyMMdd"), week_date(head))
 
 
 def epoch_text(c: Column) -> Column:

@@ -29,6 +29,19 @@ def test_dates(spark, text, day):
     assert values(spark, fn.parsed_date, text) == [date(*day) if day else None]
 
 
+def test_dates_of_the_wrong_width_or_digits(spark):
+    assert values(spark, fn.parsed_date, "1999-3-14", "99-03-1999", "१९९९-03-14", "9999999", "1999-03-14x", "August 3 1996", None) == [None] * 7
+
+
+@pytest.mark.parametrize("text", ["2024-W05-3", "2024W053", "2024-W05", "2020-W53-7", "2021-W53-1", "2026-W01-1", "2024-W00-1", "2024-W05-8", "2024-W053", "2024W05-3", "2024-W5-3", "0000-W01-1"])
+def test_week_dates(spark, text):
+    try:
+        day = date.fromisoformat(text)
+    except ValueError:
+        day = None
+    assert values(spark, fn.iso_date, text) == [day]
+
+
 def test_epochs_and_phones(spark):
     assert values(spark, fn.epoch_text, "0", "1700000000", "1700000000000", "x") == ["1970-01-01 00:00:00", "2023-11-14 22:13:20", "2023-11-14 22:13:20", None]
     assert values(spark, fn.phone, "+216.20.123.456", "00216 31 234 567", "0 50 123 456", "2012345", "00000000", None) == ["20123456", "31234567", "50123456", None, None, None]
