@@ -23,6 +23,8 @@ from siltworks.llm.common import map_rows, once_per_worker
 
 #: Distinct matches remembered by a Python worker.
 REMEMBERED = 500_000
+#: Ranks are below 2 ** RANK_BITS, with or without gaps between them.
+RANK_BITS = 32
 #: Children of a node of the segment tree.
 FAN = 32
 
@@ -38,7 +40,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [whole]
     n, get = len(piece), ranks.get
     bits = n.bit_length()
-    none, place = len(ranks) << bits, (1 << bits) - 1
+    none, place = 1 << RANK_BITS + bits, (1 << bits) - 1
     # rank and place in one number; the smallest is the leftmost of the lowest rank
     leaves = [none if (rank := get(piece[i : i + 2])) is None else rank << bits | i for i in range(n - 1)]
     leaves.append(none)

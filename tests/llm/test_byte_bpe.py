@@ -22,6 +22,11 @@ def test_merge_long_piece_like_library():
         assert merge(text.encode(), RANKS) == LIBRARY._encode_single_piece(text.encode())
 
 
+def test_ranks_with_gaps():
+    ranks = {b"a": 0, b"b": 1, b"c": 2, b"bc": 10, b"abc": 4_000_000_000}
+    assert merge(b"abc", ranks) == [4_000_000_000] and merge(b"bca", ranks) == [10, 0] and merge(b"abcabca", ranks) == [4_000_000_000, 4_000_000_000, 0]
+
+
 def test_odd_texts_and_clashing_columns(spark):
     docs = spark.createDataFrame([(i, t, "old") for i, t in enumerate(ODD)] + [(0, None, "old")], "doc_id long, text string, n_tokens string")
     rows = digests(docs, *vocabulary()).collect()
