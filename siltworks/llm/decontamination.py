@@ -112,12 +112,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", win
     spark = docs.sparkSession
     carry = [c for c in (docs.columns if carry is None else carry) if c not in NEW.names]
     source = docs.select(*quoted(carry), *quoted([] if text in carry else [text]))
+    benchmark = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").distinct()
     size = benchmark.agg(F.sum(F.octet_length("text") + F.lit(32))).first()[0] or 0
     n_blocks = max(1, math.ceil(size / block_bytes))
-    part = F.pmod(F.xxhash64("item_id"), F.lit(n_blocks))
+    # repeated items count once, and those of one id, or of none, are dealt by their texts
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
 
     def block(k: int):
-        rows = [tuple(r) for r in benchmark.where(part == k).select(F.col("item_id").cast("string"), "text").collect()]
+        rows = [tuple(r) for r in benchmark.where(part == k).collect()]
         return hashlib.sha256(repr(sorted(rows, key=repr)).encode("utf-8", "surrogatepass")).hexdigest(), spark.sparkContext.broadcast(rows)
 
     def machine(name, items):

@@ -38,6 +38,16 @@ def test_against_brute_force_in_one_and_many_blocks(spark):
             assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == brute(r["text"], ITEMS)
 
 
+def test_items_without_ids_are_dealt_by_text(spark):
+    """Blocks stay small although all items have one id, or none; repeated items count once."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(13)) for i in range(30)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for item in (7, None):
+        bench = spark.createDataFrame([(item, t) for t in texts for _ in range(3)], "item_id long, text string")
+        rows = decontaminate(docs, bench, block_bytes=1500).collect()
+        assert len(rows) == 30 and all(r["contaminated"] and (r["n_hit"], r["n_items"]) == (13, 1) for r in rows)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
