@@ -113,6 +113,12 @@ def quoted(names: list[str]) -> list[Column]:
     return [F.col(f"`{n}`") for n in names]
 
 
+def as_json(columns: list[Column]) -> Column:
+    """These columns as one text that tells different rows apart, whatever their types and names."""
+    exact = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    return F.to_json(F.struct(*(c.alias(f"c{i}") for i, c in enumerate(columns)), F.lit(0).alias("none")), exact)
+
+
 def map_rows(docs: DataFrame, carry: list[str], column: str, make: Callable[[], Callable], outputs: pa.Schema, ddl: str) -> DataFrame:
     """The carried columns as they are, and for each row what make()'s function gives for a column. outputs and ddl: the new columns, for Arrow and for Spark."""
     rows = docs.select(F.struct(*quoted(carry), F.lit(0).alias("_none")).alias("_row"), F.col(f"`{column}`").alias("_value"))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltworks.llm.common import collect_garbage, forget, heavy_join, packed, scratch, stored
+from siltworks.llm.common import as_json, collect_garbage, forget, heavy_join, packed, quoted, scratch, stored
 from siltworks.llm.components import components
 from siltworks.llm.line_dedup import ranked
 
@@ -380,11 +380,12 @@ def ngram_jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def first_of_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
     """docs with exactly one row of each component: of rows equal in key and text one stays, also where the key is null.
 
-    Of such rows the smallest stays, so all columns have to be of types with an order. They are aggregated in each task before
-    the shuffle that brings rows and labels together, so a key with very many rows sends one row per task.
+    Of such rows that one stays whose other columns come first as JSON text, which any type has (maps and variants too). They are
+    aggregated in each task before the shuffle that brings rows and labels together, so a key with very many rows sends one row per task.
     """
     identity = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("hash"))
     labels = jaccard_components(docs.select(identity.alias("key"), F.col(text).alias("text")), "key", "text", size, percent)
     stays = labels.where(F.col("key") == F.col("component_id")).select(F.col("key").alias("_own")).distinct()
-    one = docs.groupBy(identity.alias("_own")).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row"))
+    rows = docs.select(identity.alias("_own"), F.struct(*quoted(docs.columns)).alias("_row"), as_json(quoted([c for c in docs.columns if c not in (key, text)])).alias("_json"))
+    one = rows.groupBy("_own").agg(F.min_by("_row", "_json").alias("row"))
     return one.join(stays.hint("shuffle_hash"), "_own", "left_semi").select("row.*")
