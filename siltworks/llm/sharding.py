@@ -1,13 +1,13 @@
 """Two-pass external shuffle.
 
-Pass one scatters records uniformly into buckets sized for memory, by a seeded hash of key and text. Pass two Fisher-Yates
+Pass one scatters records uniformly into buckets sized for memory, by a seeded hash of the whole record. Pass two Fisher-Yates
 shuffles each bucket in one task and writes it; then the buckets are counted. A record's place in the whole permutation is its bucket's offset
 plus its place in the bucket; places are dealt to shards in turn, so shard sizes differ by one record at most
-(law ``rows``) and slots have no gaps.
+(law ``rows``) and slots have no gaps. Seed and records alone decide the permutation, however the table is split among tasks.
 
-Defined cases: a null text counts as no bytes; rows equal in key and text fall into one bucket for each task that reads them;
-a null key is hashed like any value; very long texts are in one bucket with others, which is larger by them; an empty table gives
-no rows; columns named shard or slot are replaced, others may have any name.
+Defined cases: a null text counts as no bytes; equal records fall into one bucket, unless they would fill half of one: then they are
+counted, and their copies are dealt one by one by their number; a null key is hashed like any value; very long texts are in one bucket with
+others, which is larger by them; an empty table gives no rows; columns named shard or slot are replaced, others may have any name and type.
 """
 
 from __future__ import annotations
@@ -20,10 +20,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from siltworks.llm.common import packed, stored
+from siltworks.llm.common import as_json, packed, stored
 
 #: Bound of the table of bucket offsets, which is broadcast: 16 bytes each.
 MAX_BUCKETS = 1 << 20
+#: Copies of one record that a task writes out.
+COPIES = 4096
 
 
 def fisher_yates(n: int, seed: tuple[int, ...]) -> np.ndarray:
@@ -35,24 +37,38 @@ def fisher_yates(n: int, seed: tuple[int, ...]) -> np.ndarray:
     return np.array(order, np.int64)
 
 
+def with_ids(rows: DataFrame, carried: list[str], key: str, text: str) -> DataFrame:
+    """The rows with two hashes (a, b) of all that is carried, and their bytes. Which value is null is hashed too."""
+    given = [F.col(f"_row.`{c}`") for c in (key, text)]
+    others = [F.col(f"_row.`{c}`") for c in carried if c not in (key, text)]
+    said = [*given, *(g.isNull() for g in given), *([as_json(others)] if others else [])]
+    return rows.select("_row", F.xxhash64(*said).alias("a"), F.xxhash64(F.lit(1), *said).alias("b"), (F.coalesce(F.octet_length(given[1]), F.lit(0)) + F.lit(1)).alias("bytes"))
+
+
 def external_shuffle(docs: DataFrame, n_shards: int = 8, seed: int = 20, key: str = "doc_id", text: str = "text", bucket_bytes: int = 8 << 20) -> DataFrame:
     """Every record of docs with shard (int) and slot (long)."""
     rows, carried = packed(docs, ("shard", "slot"))
-    size = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(1))).first()[0] or 1
+    rows = with_ids(rows, carried, key, text)
+    same = stored(rows.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")))
+    size = same.agg(F.sum("bytes")).first()[0] or 1
     n_buckets = min(MAX_BUCKETS, math.ceil(size / bucket_bytes))
-    which = F.struct(F.col(f"_row.`{key}`").alias("key"), F.xxhash64(F.col(f"_row.`{text}`")).alias("hash"))
-    # repeated rows are told apart by the task that reads them, so that no bucket gets them all
-    bucket = F.pmod(F.xxhash64(F.lit(seed), "which", F.spark_partition_id()), F.lit(n_buckets)).cast("int")
-    scattered = rows.withColumn("which", which).withColumn("bucket", bucket)
+    # two for each bucket at most, whatever the input
+    hot = same.where((F.col("n") > 1) & (F.col("bytes") >= size / n_buckets / 2)).select("a", "b", "n")
+    scattered = rows.drop("bytes").withColumn("copy", F.lit(0).cast("bigint"))
+    if n_buckets > 1 and not hot.isEmpty():
+        one = rows.join(F.broadcast(hot), ["a", "b"]).groupBy("a", "b").agg(F.any_value("_row").alias("_row"), F.any_value("n").alias("n"))
+        blocks = one.withColumn("first", F.explode(F.expr(f"sequence(0L, n - 1, {COPIES}L)"))).repartition("a", "first")
+        copies = blocks.withColumn("copy", F.explode(F.expr(f"sequence(first, least(n, first + {COPIES}) - 1)")))
+        scattered = scattered.join(F.broadcast(hot), ["a", "b"], "left_anti").unionByName(copies.drop("n", "first"))
+    scattered = scattered.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "a", "b", "copy"), F.lit(n_buckets)).cast("int"))
 
     def shuffled(key_values: tuple, group: pa.Table) -> pa.Table:
-        which = group.column("which").combine_chunks()
-        group = group.take(pa.compute.sort_indices(pa.table({"k": which.field("key"), "h": which.field("hash")}), sort_keys=[("k", "ascending"), ("h", "ascending")]))
+        group = group.take(pa.compute.sort_indices(group.select(["a", "b"]), sort_keys=[("a", "ascending"), ("b", "ascending")]))
         group = group.take(pa.array(fisher_yates(group.num_rows, (seed, key_values[0].as_py()))))
         return group.append_column("place", pa.array(np.arange(group.num_rows), pa.int64()))
 
     schema = StructType([*scattered.schema.fields]).add("place", "long")
-    mixed = stored(scattered.groupBy("bucket").applyInArrow(shuffled, schema).drop("which"))
+    mixed = stored(scattered.groupBy("bucket").applyInArrow(shuffled, schema).drop("a", "b", "copy"))
     counts = mixed.groupBy("bucket").agg(F.count("*").alias("n"))
     # one row per bucket: MAX_BUCKETS at most, whatever the input
     offsets = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("offset"))
