@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from datetime import UTC, date, datetime
 
 from pyspark import StorageLevel
@@ -25,8 +26,11 @@ NEVER_DEDUPLICATED = {"api"}
 REASONS = ("invalid_phone", "duplicate")
 
 
-def clean(df: DataFrame, source_type: str = "source_file", table: str = "", provider: RuleProvider | None = None, snake: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(clean rows, quarantine with _reason). Expects _row_id; a bad phone is quarantined as a copy, its row stays without it. snake: names become snake case first."""
+def clean(df: DataFrame, source_type: str = "source_file", table: str = "", provider: RuleProvider | None = None, snake: bool = False, keep: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, quarantine with _reason). Expects _row_id; a bad phone is quarantined as a copy, its row stays without it. snake: names become snake case first.
+
+    keep: stores what is used more than once, so that both results come from one search for copies.
+    """
     df = schema.flattened(df)
     df = schema.canonical_names(schema.snake_names(df, ("_row_id",)) if snake else df)
     said = (provider or NoRules()).cleaning(table, df)
@@ -39,16 +43,23 @@ def clean(df: DataFrame, source_type: str = "source_file", table: str = "", prov
     plain = df.drop(*raw, "_bad_phones")
     if source_type in NEVER_DEDUPLICATED:
         return plain, bad
-    told = dedup.with_copies(plain, keys, ["_row_id"])
+    told = dedup.with_copies(plain, keys, ["_row_id"], keep)
+    told = keep(told) if keep else told
     again = told.where("_is_copy").drop("_is_copy").withColumn("_reason", F.lit("duplicate"))
     return told.where("not _is_copy").drop("_is_copy"), bad.unionByName(again)
 
 
 def clean_group(spark: SparkSession, source: files.Source, paths: list[str], out: str, at: str, provider: RuleProvider | None) -> dict:
     """One group's tables and report; _row_id stays, as the order of the files' rows. Rows are counted while they are written. Names of CSV files stay as they are written, others become snake case."""
-    raw = files.with_row_id(files.read(spark, source, paths)).persist(StorageLevel.DISK_ONLY)
+    held: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
+
     try:
-        kept, quarantine = clean(raw, source.type, source.table, provider, snake=source.format != "csv")
+        raw = keep(files.with_row_id(files.read(spark, source, paths)))
+        kept, quarantine = clean(raw, source.type, source.table, provider, source.format != "csv", keep)
         path = f"{out}/tables/{source.key}/processed_{at}"
         rows, bad = Observation(), Observation()
         sinks.write_table(schema.with_source(kept, source.type, source.name, source.table, source.db, at).observe(rows, F.count(F.lit(1)).alias("n")), path)
@@ -57,7 +68,8 @@ def clean_group(spark: SparkSession, source: files.Source, paths: list[str], out
         written = spark.read.parquet(path)
         facts = {"rows_input": raw.count(), "rows_output": rows.get["n"], "rows_quarantined": sum(reasons.values()), "reasons": reasons, "path": path}
     finally:
-        raw.unpersist()
+        for df in reversed(held):
+            df.unpersist()
     types = {f.name: f.dataType.simpleString() for f in written.schema}
     sinks.write_document(spark, f"{out}/reports/{source.key}/report_{at}.json", facts | {"table": source.table, "columns": written.columns, "types": types, "sample": sinks.sample_rows(written, REPORTED, "_row_id")})
     return facts

@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -45,3 +46,37 @@ def test_repeated_references(spark):
     assert checked.columns[:2] == ["id", "reference"] and rules.REPEATED not in checked.columns
     # a row that stands twice is a repeat of itself
     assert rules.validated(spark.createDataFrame([(1, "R")] * 4, "id long, reference string"), "t", {"BNK-012"}).where("_is_quarantined").count() == 3
+
+
+def shuffled(spark):
+    """Bytes that all tasks have written for shuffles so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    time.sleep(0.5)
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_rows_of_no_repeated_key_are_not_shuffled(spark, tmp_path):
+    draw = random.Random(8)
+    rows = [(i, "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=400))) for i in range(3000)]
+    spark.createDataFrame(rows + [(-1 - i, t) for i, t in rows[:30]], "n long, text string").write.parquet(str(tmp_path / "t"))
+    df, before, threshold = spark.read.parquet(str(tmp_path / "t")), shuffled(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        told = dedup.with_copies(df, ["text"], ["n"]).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(told) == 3030 and sorted(r["n"] for r in told if r["_is_copy"]) == list(range(30))
+    # the texts have 1.2 MB, and letters at random don't get smaller than 0.6 of that
+    assert shuffled(spark) - before < 300_000
+
+
+def test_bits_that_keys_share_change_nothing(spark, monkeypatch):
+    draw = random.Random(9)
+    rows = [(i, draw.choice([None, *map(str, range(900))])) for i in range(1200)]
+    df = spark.createDataFrame(rows, "n long, k string").repartition(3)
+    for words in (1, 2, 1 << 19):
+        monkeypatch.setattr(dedup, "WORDS", words)
+        told = dedup.marked(df, [F.col("k")], ["n"], "later", F.col("n") % 3 != 0).collect()
+        rest = [r for r in rows if r[0] % 3]
+        assert len(told) == 1200 and {r["n"] for r in told if r["later"]} == {rest[i][0] for i in expected(rest, lambda r: r[1], lambda r: r[0])}

@@ -1,4 +1,6 @@
 import json
+import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -128,3 +130,29 @@ def test_runs_go_on_past_broken_files(spark, tmp_path):
     lines = [r["line"] for r in exports.gauges(spark, out, gold).collect()]
     assert 'validated_last_total{table="latin"} 2.0' in lines and any(x.startswith('clean_last_tables{table="all"} 2') for x in lines)
     assert main(["export", out, gold]) == lines
+
+
+def shuffled(spark):
+    """Bytes that all tasks have written for shuffles so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    time.sleep(0.5)
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+def test_a_group_is_searched_for_copies_once(spark, tmp_path):
+    """What a run shuffles stays below the rows' own size, also if few rows are copies, and nothing stays stored."""
+    draw = random.Random(3)
+    rows = [(i, "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=400))) for i in range(3000)]
+    (tmp_path / "raw/source_file").mkdir(parents=True)
+    (tmp_path / "raw/source_file/t.csv").write_text("id,note\n" + "".join(f"{i},{t}\n" for i, t in rows + rows[5:1500:50]))
+    before, stored, threshold = shuffled(spark), spark._jsc.getPersistentRDDs().size(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        (done,) = run_clean(spark, str(tmp_path / "raw"), str(tmp_path / "clean"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert (done["rows_input"], done["rows_output"], done["reasons"]) == (3030, 3000, {"duplicate": 30})
+    assert shuffled(spark) - before < 600_000 and spark._jsc.getPersistentRDDs().size() == stored
+    assert [r["_row_id"] for r in spark.read.parquet(done["path"]).orderBy("_row_id").limit(3000).collect()] == list(range(3000))
+    assert spark.read.json(f"{tmp_path}/clean/quarantine/*/*/*").groupBy("note").count().count() == 30
