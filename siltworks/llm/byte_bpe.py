@@ -144,6 +144,26 @@ def decode(docs: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", int
     return map_rows(docs, carry, ids, make, pa.schema([(into, pa.binary())]), f"`{into}` binary")
 
 
+def round_trips(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", into: str = "ids", same: str = "decoded", carry: list[str] | None = None) -> DataFrame:
+    """The carried columns (all by default) with an array of token ids, and whether these decode to the text's bytes: encoding and decoding in one pass.
+
+    encode() and decode() in a row hold two Python workers, each with a codec, for each task at a time; this holds one.
+    """
+    carry = [c for c in (docs.columns if carry is None else carry) if c not in (into, same)]
+    get = codec_for(docs.sparkSession, vocabulary, pattern)
+
+    def make():
+        codec = get()
+
+        def row(t):
+            ids = codec.encode(t or "")
+            return np.frombuffer(ids, "<u4"), codec.decode(ids) == (t or "").encode("utf-8", "surrogatepass")
+
+        return row
+
+    return map_rows(docs, carry, text, make, pa.schema([(into, pa.list_(pa.int32())), (same, pa.bool_())]), f"`{into}` array<int>, `{same}` boolean")
+
+
 def digests(docs: DataFrame, vocabulary: str, pattern: str, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The carried columns with n_tokens, ids_sha256 and decoded_sha256: encoding and decoding in one pass."""
     carry = [c for c in (docs.columns if carry is None else carry) if c not in ("n_tokens", "ids_sha256", "decoded_sha256")]

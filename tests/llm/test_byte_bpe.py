@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import tiktoken
 
-from siltworks.llm.byte_bpe import decode, digests, encode, merge, read_ranks
+from siltworks.llm.byte_bpe import decode, digests, encode, merge, read_ranks, round_trips
 from siltworks.llm.queries import op5_byte_bpe, vocabulary
 
 RANKS = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -42,6 +42,13 @@ def test_round_trip(spark):
         assert r["ids"] == LIBRARY.encode_ordinary(r["text"] or "")
 
 
+def test_ids_and_their_check_in_one_pass(spark):
+    docs = spark.createDataFrame([(i, t, "old") for i, t in enumerate(ODD)] + [(0, None, "old")], "doc_id long, text string, ids string")
+    out = round_trips(docs, *vocabulary())
+    assert out.columns == ["doc_id", "text", "ids", "decoded"]
+    assert sorted(((r["doc_id"], r["text"], r["ids"], r["decoded"]) for r in out.collect()), key=str) == sorted(((i, t, LIBRARY.encode_ordinary(t or ""), True) for i, t in [*enumerate(ODD), (0, None)]), key=str)
+
+
 def test_query(spark, sf):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = op5_byte_bpe(spark, sf).collect()

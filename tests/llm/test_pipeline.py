@@ -67,3 +67,12 @@ def test_run_over_nulls_repeats_extra_columns_and_an_empty_table(spark, sf, tmp_
     assert len(set(os.listdir(folder.removeprefix("file:"))) - before) == 1
     assert {(r["doc_id"], r["n_tokens"]) for r in odd.collect()} == plain
     assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_a_stage_over_texts_holds_one_python_worker_a_task_and_sends_the_text_once(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name in ("decontamination", "byte-level BPE"):
+        plan = dict(corpus_pipeline.STAGES)[name](spark, docs, sf)._jdf.queryExecution()
+        assert plan.executedPlan().toString().count("MapInArrow") == 1
+        sent = plan.optimizedPlan().toString().split("MapInArrow", 1)[1]
+        assert ("AS _value" in sent) == (name == "byte-level BPE")
